@@ -1,0 +1,107 @@
+"""Joins and sorts that hold up when one key owns a large share of the rows.
+
+Keys are counted in a fixed number of hash buckets. A bucket with more than one
+reduce task's fair share of the rows is heavy, and only heavy buckets are
+treated. There can be no more heavy buckets than reduce tasks, so their list has
+a fixed bound and may be broadcast whatever the size of the data.
+"""
+
+from __future__ import annotations
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BUCKETS = 16384
+# Below this many rows a bucket is no burden to one task.
+MIN_ROWS = 100_000
+# Equal rows travel as one row with a count of at most this many.
+MAX_COPIES = 10_000
+
+
+def bucket_of(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def heavy_buckets(df: DataFrame, keys: list[str], min_rows: int = MIN_ROWS) -> dict[int, int]:
+    """Heavy buckets and the number of tasks each should be spread over.
+
+    Counting shuffles at most one row per bucket and map task.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = F.greatest(
+        F.lit(float(min_rows)), F.col("total") / F.lit(float(min(tasks, BUCKETS // 4)))
+    )
+    counts = df.groupBy(bucket_of(keys).alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
+    summary = counts.agg(
+        F.sum("rows").alias("total"), F.collect_list(F.struct("bucket", "rows")).alias("buckets")
+    )
+    found = summary.select(
+        F.transform(
+            F.filter("buckets", lambda b: b["rows"] > share),
+            lambda b: F.struct(b["bucket"], F.ceil(b["rows"] / share).alias("tasks")),
+        ).alias("heavy")
+    ).first()
+    return {row["bucket"]: row["tasks"] for row in found["heavy"]}
+
+
+def balanced_join(
+    left: DataFrame, right: DataFrame, key: str, how: str, min_rows: int = MIN_ROWS
+) -> DataFrame:
+    """Equi-join of a narrow left side, whose keys may repeat, with a wide right side.
+
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. Without heavy
+    buckets this is a plain join, left to the optimizer. Otherwise the rows of a
+    heavy bucket are dealt out over several tasks and the right rows of that
+    bucket are repeated once per task. Which task a row goes to depends on its
+    values alone, so a recomputed task deals it out the same way.
+    """
+    heavy = heavy_buckets(left, [key], min_rows)
+    if not heavy:
+        return left.join(right, key, how)
+
+    listed = pa.table({"_bucket": list(heavy.keys()), "_tasks": list(heavy.values())})
+    hot = F.broadcast(
+        left.sparkSession.createDataFrame(listed).select(
+            F.col("_bucket").cast("int"), F.col("_tasks").cast("int")
+        )
+    )
+    columns = left.columns
+    bucketed = left.withColumn("_bucket", bucket_of([key]))
+    light = bucketed.join(hot, "_bucket", "left_anti").select(
+        *columns, F.lit(0).alias("_salt"), F.lit(1).alias("_copies")
+    )
+    spread = fold_copies(bucketed.join(hot, "_bucket"), [*columns, "_tasks"]).select(
+        *columns,
+        F.pmod(F.xxhash64(*columns, "_piece"), "_tasks").cast("int").alias("_salt"),
+        "_copies",
+    )
+    repeated = (
+        right.withColumn("_bucket", bucket_of([key]))
+        .join(hot, "_bucket", "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_tasks", F.lit(1)) - 1)))
+        .drop("_bucket", "_tasks")
+    )
+    joined = light.unionByName(spread).join(repeated, [key, "_salt"], how)
+    return unfold_copies(joined).drop("_salt")
+
+
+def fold_copies(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Equal rows as one row per piece of at most ``MAX_COPIES`` copies."""
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    last_piece = F.floor((F.col("_n") - 1) / MAX_COPIES)
+    return (
+        counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)))
+        .withColumn(
+            "_copies",
+            F.least(F.lit(MAX_COPIES), F.col("_n") - F.col("_piece") * MAX_COPIES).cast("int"),
+        )
+        .drop("_n")
+    )
+
+
+def unfold_copies(df: DataFrame) -> DataFrame:
+    """Equal rows one by one again, in place."""
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).drop(
+        "_copy", "_copies"
+    )
