@@ -77,7 +77,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def definitions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(DATASETS.items()), "dataset string, predicate string")
+    rows = ", ".join(f"('{name}', '{text.replace(chr(39), chr(39) * 2)}')" for name, text in DATASETS.items())
+    return spark.sql(f"select * from values {rows} as t (dataset, predicate)")
 
 
 def sql_over(*names: str, body: str) -> str:

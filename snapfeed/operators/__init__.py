@@ -35,7 +35,7 @@ from .scope import (
     scope_condition,
     under_folder,
 )
-from .skew import balanced_join, heavy_buckets
+from .skew import balanced_join, measure
 from .stats import element_stats, elements_by_source, elements_by_type, run_summary
 
 __all__ = [
@@ -53,7 +53,6 @@ __all__ = [
     "elements_by_source",
     "elements_by_type",
     "extract_page_text",
-    "heavy_buckets",
     "in_dataset",
     "latest_snapshot",
     "latest_snapshot_row",
@@ -61,6 +60,7 @@ __all__ = [
     "load_elements",
     "make_scope",
     "matching_entries",
+    "measure",
     "missing_files",
     "new_files",
     "number_pages",

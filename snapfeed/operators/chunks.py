@@ -35,13 +35,12 @@ def chunk_words(
     stride = size - overlap
     others = [name for name in documents.columns if name != text]
 
-    words = documents.select(*others, split_words(F.col(text)).alias("_words")).where(
-        F.size("_words") > 0
-    )
+    # A text without words has a null here, which explode() drops. A filter would
+    # be moved below the projection and split every text a second time.
+    words = documents.select(*others, split_words(F.col(text)).alias("_words"))
     last_chunk = F.ceil(F.greatest(F.size("_words") - size, F.lit(0)) / stride).cast("int")
-    chunks = words.select(
-        *others, "_words", F.explode(F.sequence(F.lit(0), last_chunk)).alias("chunk_no")
-    ).select(
+    numbers = F.when(F.size("_words") > 0, F.sequence(F.lit(0), last_chunk))
+    chunks = words.select(*others, "_words", F.explode(numbers).alias("chunk_no")).select(
         *others,
         "chunk_no",
         F.array_join(F.slice("_words", F.col("chunk_no") * stride + 1, F.lit(size)), " ").alias(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import scratch_dir
-from .skew import MIN_ROWS, fold_copies, heavy_buckets, unfold_copies
+from .skew import MIN_ROWS, fold_copies, measure, unfold_copies
 
 # Fixed value: entries per page unless the caller says otherwise.
 DEFAULT_PAGE_SIZE = 10_000
@@ -27,7 +27,7 @@ def ordered(entries: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     copies can lie in several ranges.
     """
     columns = entries.columns
-    if not heavy_buckets(entries, list(ORDER), min_rows):
+    if not measure(entries, list(ORDER), min_rows).heavy:
         return entries.orderBy(*ORDER)
     folded = fold_copies(entries, columns)
     tie = F.xxhash64(*columns, "_piece")

@@ -1,65 +1,146 @@
 """Joins and sorts that hold up when one key owns a large share of the rows.
 
-Keys are counted in a fixed number of hash buckets. A bucket with more than one
-reduce task's fair share of the rows is heavy, and only heavy buckets are
-treated. There can be no more heavy buckets than reduce tasks, so their list has
-a fixed bound and may be broadcast whatever the size of the data.
+Before joining, the narrow side is measured in one pass: its rows and bytes, the
+range of its keys, and its rows per hash bucket of the key. How to join follows
+from these numbers and not from estimates, which take a text column for as
+small as a name.
+
+A bucket with more than one reduce task's fair share of the rows is heavy, and
+only heavy buckets are treated. There can be no more heavy buckets than reduce
+tasks, so their list has a fixed bound and may be broadcast whatever the size of
+the data.
 """
 
 from __future__ import annotations
 
+from typing import Any, NamedTuple
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKETS = 16384
 # Below this many rows a bucket is no burden to one task.
 MIN_ROWS = 100_000
 # Equal rows travel as one row with a count of at most this many.
 MAX_COPIES = 10_000
+# Up to this size the narrow side is broadcast.
+BROADCAST_BYTES = 64 << 20
+# Up to this size per reduce task the narrow side becomes a hash table.
+HASH_TABLE_BYTES = 64 << 20
+
+
+class Measure(NamedTuple):
+    rows: int
+    bytes: int
+    low: Any
+    high: Any
+    heavy: dict[int, int]
+    tasks: int
 
 
 def bucket_of(keys: list[str]) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
 
-def heavy_buckets(df: DataFrame, keys: list[str], min_rows: int = MIN_ROWS) -> dict[int, int]:
-    """Heavy buckets and the number of tasks each should be spread over.
+def row_bytes(schema: T.StructType) -> Column:
+    """Size of a row with text and lists of text counted as they are."""
+    total = F.lit(16).cast("bigint")
+    for field in schema.fields:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.ArrayType):
+            column = F.array_join(column.cast("array<string>"), ",")
+        width = (
+            F.octet_length(column)
+            if isinstance(field.dataType, T.StringType | T.ArrayType)
+            else F.lit(8)
+        )
+        total = total + 8 + F.coalesce(width, F.lit(0))
+    return total
+
+
+def measure(df: DataFrame, keys: list[str], min_rows: int = MIN_ROWS) -> Measure:
+    """Size, range of the first key, and heavy buckets with the tasks each is worth.
 
-    Counting shuffles at most one row per bucket and map task.
+    Shuffles at most one row per bucket and map task.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = F.greatest(
-        F.lit(float(min_rows)), F.col("total") / F.lit(float(min(tasks, BUCKETS // 4)))
+    tasks = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), BUCKETS // 4)
+    share = F.greatest(F.lit(float(min_rows)), F.col("rows") / F.lit(float(tasks)))
+    buckets = df.groupBy(bucket_of(keys).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(row_bytes(df.schema)).alias("bytes"),
+        F.min(keys[0]).alias("low"),
+        F.max(keys[0]).alias("high"),
     )
-    counts = df.groupBy(bucket_of(keys).alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
-    summary = counts.agg(
-        F.sum("rows").alias("total"), F.collect_list(F.struct("bucket", "rows")).alias("buckets")
+    summary = buckets.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.collect_list(F.struct("bucket", F.col("rows").alias("n"))).alias("buckets"),
     )
-    found = summary.select(
+    row = summary.select(
+        "rows",
+        "bytes",
+        "low",
+        "high",
         F.transform(
-            F.filter("buckets", lambda b: b["rows"] > share),
-            lambda b: F.struct(b["bucket"], F.ceil(b["rows"] / share).alias("tasks")),
-        ).alias("heavy")
+            F.filter("buckets", lambda b: b["n"] > share),
+            lambda b: F.struct(b["bucket"], F.ceil(b["n"] / share).alias("tasks")),
+        ).alias("heavy"),
     ).first()
-    return {row["bucket"]: row["tasks"] for row in found["heavy"]}
+    heavy = {bucket["bucket"]: bucket["tasks"] for bucket in row["heavy"]}
+    return Measure(row["rows"], row["bytes"], row["low"], row["high"], heavy, tasks)
 
 
 def balanced_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, min_rows: int = MIN_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str,
+    min_rows: int = MIN_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Equi-join of a narrow left side, whose keys may repeat, with a wide right side.
 
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. Without heavy
-    buckets this is a plain join, left to the optimizer. Otherwise the rows of a
-    heavy bucket are dealt out over several tasks and the right rows of that
-    bucket are repeated once per task. Which task a row goes to depends on its
-    values alone, so a recomputed task deals it out the same way.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. The range of
+    the left keys is put to the scan of the right side. A left side that
+    measures small enough is broadcast, so that the right side is filtered where
+    it is read; beyond that both sides are shuffled, the left one as a hash table
+    if that fits, sorted otherwise. Rows of heavy buckets are dealt out over
+    several tasks.
     """
-    heavy = heavy_buckets(left, [key], min_rows)
-    if not heavy:
-        return left.join(right, key, how)
+    size = measure(left, [key], min_rows)
+    right = right.where(F.col(key).between(F.lit(size.low), F.lit(size.high)))
+    small = size.bytes <= broadcast_bytes
+    if small and how == "inner" and not size.heavy:
+        return F.broadcast(left).join(right, key)
+    if small:
+        right = right.join(F.broadcast(left.select(key)), key, "left_semi")
+    strategy = None
+    if how == "inner":
+        fits = size.bytes / size.tasks <= HASH_TABLE_BYTES
+        strategy = "shuffle_hash" if fits else "merge"
+    if size.heavy:
+        return _spread_join(left, right, key, how, size.heavy, strategy)
+    return (left.hint(strategy) if strategy else left).join(right, key, how)
+
+
+def _spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str,
+    heavy: dict[int, int],
+    strategy: str | None,
+) -> DataFrame:
+    """Join with the rows of heavy buckets dealt out by salt.
 
+    The right rows of such a bucket are repeated once per salt. The salt of a
+    left row depends on its values alone, so a recomputed task deals it out the
+    same way; equal rows travel in counted pieces with a salt each.
+    """
     listed = pa.table({"_bucket": list(heavy.keys()), "_tasks": list(heavy.values())})
     hot = F.broadcast(
         left.sparkSession.createDataFrame(listed).select(
@@ -71,7 +152,7 @@ def balanced_join(
     light = bucketed.join(hot, "_bucket", "left_anti").select(
         *columns, F.lit(0).alias("_salt"), F.lit(1).alias("_copies")
     )
-    spread = fold_copies(bucketed.join(hot, "_bucket"), [*columns, "_tasks"]).select(
+    dealt = fold_copies(bucketed.join(hot, "_bucket"), [*columns, "_tasks"]).select(
         *columns,
         F.pmod(F.xxhash64(*columns, "_piece"), "_tasks").cast("int").alias("_salt"),
         "_copies",
@@ -82,7 +163,8 @@ def balanced_join(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_tasks", F.lit(1)) - 1)))
         .drop("_bucket", "_tasks")
     )
-    joined = light.unionByName(spread).join(repeated, [key, "_salt"], how)
+    spread = light.unionByName(dealt)
+    joined = (spread.hint(strategy) if strategy else spread).join(repeated, [key, "_salt"], how)
     return unfold_copies(joined).drop("_salt")
 
 

@@ -1,0 +1,185 @@
+import random
+
+import pytest
+
+import snapfeed as sf
+from snapfeed.schema import INDEX_SCHEMA
+
+SCOPE = sf.FolderScope("/ifs/a")
+
+
+def entry(lin, snapshot, folder="a", kind="regular", changes=("ENTRY_ADDED",)):
+    return lin, f"/ifs/{folder}/{lin}", kind, snapshot, list(changes)
+
+
+@pytest.fixture
+def log(spark, tmp_path):
+    return sf.CheckpointLog(spark, str(tmp_path / "log"))
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """An index on disk that grows."""
+    path = str(tmp_path / "index")
+
+    class Stored:
+        def add(self, *rows):
+            spark.createDataFrame(rows, INDEX_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+        def read(self):
+            return sf.read_index(spark, path, nested=False)
+
+    return Stored()
+
+
+def lins(feed):
+    return sorted(int(row.path.rsplit("/", 1)[1]) for row in feed.collect())
+
+
+def test_first_run_then_only_what_is_new(stored, log):
+    stored.add(entry(1, 0), entry(2, 1), entry(3, 1, "b"))
+    with sf.IncrementalRun(stored.read(), log, SCOPE) as run:
+        assert (run.low, run.high) == (-1, 1)
+        assert lins(run.changes()) == [1, 2]
+    stored.add(entry(4, 2), entry(5, 3, "b"))
+    with sf.IncrementalRun(stored.read(), log, SCOPE) as run:
+        assert (run.low, run.high) == (1, 3)
+        assert lins(run.changes()) == [4]
+    assert lins(sf.IncrementalRun(stored.read(), log, SCOPE).changes()) == []
+
+
+def test_a_scope_without_changes_moves_on(stored, log):
+    stored.add(entry(1, 4, "b"))
+    with sf.IncrementalRun(stored.read(), log, SCOPE) as run:
+        assert lins(run.changes()) == []
+    assert log.last_snapshot("snapfeed", "folder_paths", "/ifs/a", 1) == 4
+
+
+def test_entries_that_arrive_meanwhile_wait(stored, log):
+    stored.add(entry(1, 1))
+    with sf.IncrementalRun(stored.read(), log, SCOPE) as run:
+        stored.add(entry(2, 1), entry(3, 2))
+        assert lins(run.changes()) == [1]
+    assert lins(sf.IncrementalRun(stored.read(), log, SCOPE).changes()) == [3]
+
+
+def test_a_run_without_commit_is_repeated(stored, log):
+    stored.add(entry(1, 1))
+    abandoned = sf.IncrementalRun(stored.read(), log, SCOPE)
+    abandoned.changes().first()
+    with pytest.raises(RuntimeError), sf.IncrementalRun(stored.read(), log, SCOPE):
+        raise RuntimeError
+    assert lins(sf.IncrementalRun(stored.read(), log, SCOPE).changes()) == [1]
+
+
+def test_a_failing_job_commits_nothing(stored, log):
+    stored.add(entry(1, 1))
+    broken = sf.DatasetScope("broken", "raise_error('broken') is null")
+    with pytest.raises(Exception, match="broken"), sf.IncrementalRun(stored.read(), log, broken) as run:
+        run.changes().collect()
+    assert log.read().count() == 0
+
+
+def test_forced_and_explicit_starts(stored, log):
+    stored.add(*(entry(n, n) for n in range(6)))
+    with sf.IncrementalRun(stored.read(), log, SCOPE):
+        pass
+    stored.add(entry(6, 6))
+    index = stored.read()
+    assert lins(sf.IncrementalRun(index, log, SCOPE).changes()) == [6]
+    assert lins(sf.IncrementalRun(index, log, SCOPE, since=-7).changes()) == [6]
+    assert lins(sf.IncrementalRun(index, log, SCOPE, since=3).changes()) == [4, 5, 6]
+    forced = sf.IncrementalRun(index, log, SCOPE, force_scan=True)
+    assert lins(forced.changes()) == [1, 2, 3, 4, 5, 6]
+    assert forced.commit()
+    assert lins(sf.IncrementalRun(index, log, SCOPE).changes()) == []
+
+
+def test_a_new_version_starts_over(stored, log):
+    stored.add(entry(1, 1))
+    with sf.IncrementalRun(stored.read(), log, SCOPE, version=1):
+        pass
+    assert lins(sf.IncrementalRun(stored.read(), log, SCOPE, version=2).changes()) == [1]
+
+
+def test_one_application_may_use_both_kinds_of_scope(stored, log):
+    stored.add(entry(1, 1))
+    dataset = sf.DatasetScope("d", "lin > 0")
+    for scope in (SCOPE, dataset, SCOPE, dataset):
+        with sf.IncrementalRun(stored.read(), log, scope):
+            pass
+    assert log.read().count() == 2
+
+
+def test_additions_and_deletions_are_of_one_run(stored, log):
+    stored.add(entry(1, 1), entry(2, 1, changes=["ENTRY_DELETED"]), entry(3, 1, changes=[]))
+    with sf.IncrementalRun(stored.read(), log, SCOPE) as run:
+        assert lins(run.new_files()) == [1]
+        assert lins(run.deleted_files()) == [2]
+        assert run.documents().count() == 3
+
+
+def test_an_empty_index(make_index, log):
+    with sf.IncrementalRun(make_index([]), log, SCOPE) as run:
+        assert run.high == -1
+        assert lins(run.changes()) == []
+    assert log.read().count() == 0
+
+
+def test_loaders(spark, stored, log):
+    stored.add(entry(1, 0), entry(2, 1), entry(3, 1, "b"))
+    content = spark.createDataFrame([("/ifs/a/1", "Title\n\nBody."), ("/ifs/a/2", "x")], "path string, content string")
+    with pytest.raises(ValueError):
+        sf.PathLoader(stored.read(), log)
+    loader = sf.PathLoader(stored.read(), log, "/ifs/a/", app_name="paths")
+    with pytest.raises(ValueError):
+        loader.commit()
+    assert lins(loader.load()) == [1, 2]
+    assert loader.commit() and lins(loader.load()) == []
+    forced = sf.PathLoader(stored.read(), log, "/ifs/a", app_name="paths", force_scan=True)
+    assert lins(forced.load()) == [2]
+    documents = sf.DocumentLoader(stored.read(), log, "/ifs/a", app_name="documents").load()
+    assert sorted(r.metadata.source for r in documents.collect()) == ["/ifs/a/1", "/ifs/a/2"]
+    single = sf.ContentLoader(stored.read(), log, "/ifs/a", app_name="content", content=content)
+    assert sorted(r.page_content for r in single.load().collect()) == ["Title\n\nBody.", "x"]
+    elements = sf.ContentLoader(
+        stored.read(), log, "/ifs/a", app_name="content", content=content, mode="elements"
+    )
+    assert sorted(r.page_content for r in elements.load().collect()) == ["Body.", "Title", "x"]
+    with pytest.raises(ValueError):
+        sf.ContentLoader(stored.read(), log, "/ifs/a", mode="paged")
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_histories(stored, log, seed):
+    """Nothing a commit passes is undelivered; nothing committed comes again."""
+    draw = random.Random(seed)
+    rows, delivered, committed, lin = [], set(), -1, 0
+    stored.add(entry(0, 0, "b"))
+    for _ in range(12):
+        step = draw.choice(["append", "run", "fail", "abandon"])
+        if step == "append":
+            newest = max([row[3] for row in rows], default=0)
+            new = []
+            for _ in range(draw.randrange(1, 4)):
+                lin += 1
+                new.append(
+                    entry(lin, newest + draw.randrange(1, 3), draw.choice("ab"),
+                          draw.choice(["regular", "regular", "directory"]))
+                )
+            rows += new
+            stored.add(*new)
+            continue
+        run = sf.IncrementalRun(stored.read(), log, SCOPE)
+        due = [r[0] for r in rows if r[1].startswith("/ifs/a") and r[2] == "regular" and r[3] > committed]
+        found = lins(run.changes())
+        assert found == sorted(due)
+        if step == "fail":
+            with pytest.raises(RuntimeError), run:
+                raise RuntimeError
+        elif step == "run":
+            run.commit()
+            delivered |= set(found)
+            committed = max([committed, 0] + [row[3] for row in rows])
+            assert {r[0] for r in rows if r[1].startswith("/ifs/a") and r[2] == "regular"} <= delivered
+        assert log.last_snapshot("snapfeed", "folder_paths", "/ifs/a", 1) == committed
