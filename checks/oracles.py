@@ -192,6 +192,7 @@ ORACLES = {
         select {FLAT}, position, position // 100 as page from numbered""".lstrip(),
     ),
     "load_documents": over_feed("file_content", DOCUMENTS),
+    "open_files": over_feed("file_content", DOCUMENTS),
     "load_elements": over_feed("file_content", ELEMENTS + "select * from elements"),
     "missing_files": over_feed(
         "file_content",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import snapfeed as sf
 from snapfeed.scratch import scratch_dir
+from snapfeed.sources.files import file_uri
 
 from .views import definitions, view
 
@@ -180,6 +181,33 @@ def load_elements(spark, sf_dir):
     return flat_documents(sf.load_elements(full_feed(spark, sf_dir), content))
 
 
+def open_files(spark, sf_dir):
+    """The texts as files on storage, one each, read back by the feed."""
+    root = scratch_dir(spark, "files")
+    write_files(view(spark, sf_dir, "file_content"), root)
+    opened = sf.open_changed_files(full_feed(spark, sf_dir), root, partitions=8)
+    return flat_documents(sf.document_rows(opened))
+
+
+def write_files(content: DataFrame, root: str) -> None:
+    uri = file_uri(root)
+
+    def write(batches):
+        import pandas as pd
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+        for batch in batches:
+            for path, text in zip(batch["path"], batch["content"], strict=True):
+                store.create_dir(base + path.rpartition("/")[0], recursive=True)
+                with store.open_output_stream(base + path, compression=None) as file:
+                    file.write(text.encode())
+            yield pd.DataFrame({"files": [len(batch)]})
+
+    spread = content.repartition(8)
+    spread.mapInPandas(write, "files bigint").agg(F.sum("files")).first()
+
+
 def missing_files(spark, sf_dir):
     content = view(spark, sf_dir, "file_content")
     return joined(sf.missing_files(full_feed(spark, sf_dir), content))
@@ -278,6 +306,7 @@ QUERIES = {
         number_pages,
         load_documents,
         load_elements,
+        open_files,
         missing_files,
         present_files,
         outcomes,

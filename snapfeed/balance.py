@@ -168,6 +168,25 @@ def _spread_join(
     return unfold_copies(joined).drop("_salt")
 
 
+def range_sorted(
+    df: DataFrame, keys: list[str], partitions: int | None = None, min_rows: int = MIN_ROWS
+) -> DataFrame:
+    """Rows by the keys, as consecutive ranges over all tasks.
+
+    A key that holds too many rows for one task is split: among its rows by
+    their other values, among equal rows by counted pieces.
+    """
+    columns = df.columns
+    order: list[str | Column] = list(keys)
+    heavy = measure(df, keys, min_rows).heavy
+    if heavy:
+        df = fold_copies(df, columns)
+        order.append(F.xxhash64(*columns, "_piece"))
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *order)
+    rows = ranged.sortWithinPartitions(*order)
+    return unfold_copies(rows).select(*columns) if heavy else rows
+
+
 def fold_copies(df: DataFrame, columns: list[str]) -> DataFrame:
     """Equal rows as one row per piece of at most ``MAX_COPIES`` copies."""
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))

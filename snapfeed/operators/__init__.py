@@ -1,5 +1,6 @@
 """Operators over DataFrames: scopes, the change feed, content, chunks, statistics."""
 
+from ..balance import balanced_join, measure, range_sorted
 from .chunks import chunk_words
 from .content import (
     document_rows,
@@ -7,6 +8,7 @@ from .content import (
     load_documents,
     load_elements,
     missing_files,
+    outcome_rows,
     outcomes,
     present_files,
     process_files,
@@ -35,7 +37,6 @@ from .scope import (
     scope_condition,
     under_folder,
 )
-from .skew import balanced_join, measure
 from .stats import element_stats, elements_by_source, elements_by_type, run_summary
 
 __all__ = [
@@ -65,10 +66,12 @@ __all__ = [
     "new_files",
     "number_pages",
     "ordered",
+    "outcome_rows",
     "outcomes",
     "page_after",
     "present_files",
     "process_files",
+    "range_sorted",
     "regular_files",
     "run_summary",
     "scan_scope",

@@ -13,9 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..balance import balanced_join
 from ..functions.text import element_category, page_text, trim_line
 from ..sources.files import MISSING, UNREADABLE
-from .skew import balanced_join
 
 
 def document_rows(read: DataFrame) -> DataFrame:
@@ -26,6 +26,11 @@ def document_rows(read: DataFrame) -> DataFrame:
     )
 
 
+def outcome_rows(read: DataFrame) -> DataFrame:
+    """Outcome of each row that came with its content or its error."""
+    return read.select("path", "snapshot", F.col("error").isNull().alias("ok"), "error")
+
+
 def load_documents(feed: DataFrame, content: DataFrame) -> DataFrame:
     """One document per changed file, the whole file as its content."""
     readable = content.where(F.col("content").isNotNull()).select("path", "content")

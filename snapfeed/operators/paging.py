@@ -8,8 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..balance import MIN_ROWS, range_sorted
 from ..scratch import scratch_dir
-from .skew import MIN_ROWS, fold_copies, measure, unfold_copies
 
 # Fixed value: entries per page unless the caller says otherwise.
 DEFAULT_PAGE_SIZE = 10_000
@@ -21,17 +21,8 @@ _POSITION_BITS = 33
 
 
 def ordered(entries: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
-    """Entries by ``lin``, then path and snapshot, as ranges over all tasks.
-
-    A key that holds too many rows for one task is folded first, so that its
-    copies can lie in several ranges.
-    """
-    columns = entries.columns
-    if not measure(entries, list(ORDER), min_rows).heavy:
-        return entries.orderBy(*ORDER)
-    folded = fold_copies(entries, columns)
-    tie = F.xxhash64(*columns, "_piece")
-    return unfold_copies(folded.orderBy(*ORDER, tie)).select(*columns)
+    """Entries by ``lin``, then path and snapshot."""
+    return range_sorted(entries, list(ORDER), min_rows=min_rows)
 
 
 def page_after(

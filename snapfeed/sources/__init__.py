@@ -2,7 +2,7 @@
 
 from .checkpoints import CheckpointLog, current_checkpoints, last_snapshot, last_snapshot_row
 from .datasets import dataset_predicate
-from .files import open_changed_files, read_content_tree
+from .files import open_changed_files
 from .index import flatten_index, nest_index, read_index, write_index
 
 __all__ = [
@@ -14,7 +14,6 @@ __all__ = [
     "last_snapshot_row",
     "nest_index",
     "open_changed_files",
-    "read_content_tree",
     "read_index",
     "write_index",
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..balance import range_sorted
 from ..functions.changes import change_list
 from ..schema import INDEX_SCHEMA, NESTED_INDEX_SCHEMA
 
@@ -54,12 +55,7 @@ def write_index(
 
     Files are ranged on ``(s2, path)``: an incremental run opens only the files
     at the high end. ``path`` in the key also splits a snapshot that alone holds
-    most of the rows, as the first load of a file system does.
+    most of the rows, as the first load of a file system does. Appending each
+    new snapshot this way (``mode="append"``) keeps the layout.
     """
-    keys = ("s2", "path")
-    ranged = (
-        index.repartitionByRange(partitions, *keys)
-        if partitions
-        else index.repartitionByRange(*keys)
-    )
-    ranged.sortWithinPartitions(*keys).write.mode(mode).parquet(path)
+    range_sorted(index, ["s2", "path"], partitions).write.mode(mode).parquet(path)

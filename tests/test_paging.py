@@ -48,8 +48,9 @@ def test_no_entries(entries):
     assert sf.page_after(nothing, None, 10).count() == 0
 
 
-@pytest.mark.parametrize("size", [1, 37, 150, 10_000])
-def test_pages_in_turn_give_every_entry_once(entries, rows, size):
+@pytest.mark.parametrize(("size", "below"), [(1, 2), (60, 60), (10_000, 60)])
+def test_pages_in_turn_give_every_entry_once(entries, rows, size, below):
+    entries, rows = entries.where(f"lin < {below}"), [row for row in rows if row[0] < below]
     seen, last = [], None
     while page := sf.page_after(entries, last, size).collect():
         assert len(page) >= min(size, len(rows) - len(seen))

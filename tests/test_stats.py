@@ -1,0 +1,55 @@
+import pytest
+
+import snapfeed as sf
+
+SCHEMA = "page_content string, metadata struct<source: string, category: string>"
+
+
+@pytest.fixture
+def elements(spark):
+    return spark.createDataFrame(
+        [
+            ("abc", ("/ifs/x/a.txt", "Title")),
+            ("é😀", ("/ifs/x/a.txt", None)),
+            ("", ("/ifs/y/a.txt", "Title")),
+            ("abcd", (None, "ListItem")),
+        ],
+        SCHEMA,
+    )
+
+
+def test_totals(elements):
+    assert sf.element_stats(elements).first().asDict() == {
+        "total_elements": 4,
+        "total_content_length": 9,
+        "avg_element_length": 2.25,
+    }
+    assert tuple(sf.element_stats(elements.where("false")).first()) == (0, 0, 0.0)
+
+
+def test_by_type(elements):
+    found = {r.category: r.elements for r in sf.elements_by_type(elements).collect()}
+    assert found == {"Title": 2, "Unknown": 1, "ListItem": 1}
+
+
+def test_by_source(elements):
+    found = {r.source: (r.file_name, r.elements) for r in sf.elements_by_source(elements).collect()}
+    assert found == {
+        "/ifs/x/a.txt": ("a.txt", 2),
+        "/ifs/y/a.txt": ("a.txt", 1),
+        "Unknown": ("Unknown", 1),
+    }
+
+
+def test_whole_documents_have_no_category(spark):
+    feed = spark.createDataFrame(
+        [("/ifs/a", 1, [])], "path string, snapshot bigint, change_types array<string>"
+    )
+    found = sf.elements_by_type(sf.document_feed(feed)).collect()
+    assert [tuple(r) for r in found] == [("Unknown", 1)]
+
+
+def test_counts_are_taken_before_the_shuffle(elements, plan_of):
+    for statistic in (sf.element_stats, sf.elements_by_type, sf.elements_by_source):
+        plan = plan_of(statistic(elements))
+        assert "partial_count" in plan and plan.count("Exchange (") <= 2
