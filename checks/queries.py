@@ -9,7 +9,7 @@ import snapfeed as sf
 from snapfeed.scratch import scratch_dir
 from snapfeed.sources.files import file_uri
 
-from .views import definitions, view
+from .views import definitions, table, view
 
 EVERYTHING = sf.FolderScope("/ifs/data")
 ENGLISH = sf.FolderScope("/ifs/data/en/")
@@ -246,7 +246,7 @@ def chunk_words_capped(spark, sf_dir):
 
 
 def extract_page_text(spark, sf_dir):
-    return sf.extract_page_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return sf.extract_page_text(table(spark, sf_dir, "pages"))
 
 
 def _elements(spark, sf_dir):

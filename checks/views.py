@@ -68,16 +68,27 @@ DATASETS = {
     "not_src1": "not (path like '%/src1/%')",
 }
 
-TABLES = ("documents", "events", "pages")
+TABLES = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    table = "events" if name == "commit_log" else "documents"
-    return spark.sql(VIEWS[name], **{table: spark.read.parquet(f"{sf_dir}/{table}.parquet")})
+    source = "events" if name == "commit_log" else "documents"
+    return spark.sql(VIEWS[name], **{source: table(spark, sf_dir, source)})
 
 
 def definitions(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(f"('{name}', '{text.replace(chr(39), chr(39) * 2)}')" for name, text in DATASETS.items())
+    rows = ", ".join(
+        "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in DATASETS.items()
+    )
     return spark.sql(f"select * from values {rows} as t (dataset, predicate)")
 
 

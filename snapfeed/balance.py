@@ -13,9 +13,11 @@ the data.
 
 from __future__ import annotations
 
+import math
 from typing import Any, NamedTuple
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,35 +65,31 @@ def row_bytes(schema: T.StructType) -> Column:
 def measure(df: DataFrame, keys: list[str], min_rows: int = MIN_ROWS) -> Measure:
     """Size, range of the first key, and heavy buckets with the tasks each is worth.
 
-    Shuffles at most one row per bucket and map task.
+    Shuffles at most one row per bucket and map task, and brings one row per
+    bucket to the driver.
     """
     tasks = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), BUCKETS // 4)
-    share = F.greatest(F.lit(float(min_rows)), F.col("rows") / F.lit(float(tasks)))
-    buckets = df.groupBy(bucket_of(keys).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(row_bytes(df.schema)).alias("bytes"),
-        F.min(keys[0]).alias("low"),
-        F.max(keys[0]).alias("high"),
+    buckets = (
+        df.groupBy(bucket_of(keys).alias("bucket"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(row_bytes(df.schema)).alias("bytes"),
+            F.min(keys[0]).alias("low"),
+            F.max(keys[0]).alias("high"),
+        )
+        .toArrow()
     )
-    summary = buckets.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.collect_list(F.struct("bucket", F.col("rows").alias("n"))).alias("buckets"),
+    rows = pc.sum(buckets["rows"]).as_py() or 0
+    share = max(min_rows, rows / tasks)
+    loads = zip(buckets["bucket"].to_pylist(), buckets["rows"].to_pylist(), strict=True)
+    return Measure(
+        rows,
+        pc.sum(buckets["bytes"]).as_py() or 0,
+        pc.min(buckets["low"]).as_py(),
+        pc.max(buckets["high"]).as_py(),
+        {bucket: math.ceil(load / share) for bucket, load in loads if load > share},
+        tasks,
     )
-    row = summary.select(
-        "rows",
-        "bytes",
-        "low",
-        "high",
-        F.transform(
-            F.filter("buckets", lambda b: b["n"] > share),
-            lambda b: F.struct(b["bucket"], F.ceil(b["n"] / share).alias("tasks")),
-        ).alias("heavy"),
-    ).first()
-    heavy = {bucket["bucket"]: bucket["tasks"] for bucket in row["heavy"]}
-    return Measure(row["rows"], row["bytes"], row["low"], row["high"], heavy, tasks)
 
 
 def balanced_join(
@@ -101,6 +99,7 @@ def balanced_join(
     how: str,
     min_rows: int = MIN_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    unique_right: bool = False,
 ) -> DataFrame:
     """Equi-join of a narrow left side, whose keys may repeat, with a wide right side.
 
@@ -110,6 +109,10 @@ def balanced_join(
     it is read; beyond that both sides are shuffled, the left one as a hash table
     if that fits, sorted otherwise. Rows of heavy buckets are dealt out over
     several tasks.
+
+    ``unique_right`` tells that no key occurs twice on the right, whose rows must
+    then be narrow too. What is left of it for a small left side has at most one
+    row per left key and is broadcast back.
     """
     size = measure(left, [key], min_rows)
     right = right.where(F.col(key).between(F.lit(size.low), F.lit(size.high)))
@@ -117,7 +120,11 @@ def balanced_join(
     if small and how == "inner" and not size.heavy:
         return F.broadcast(left).join(right, key)
     if small:
-        right = right.join(F.broadcast(left.select(key)), key, "left_semi")
+        right = right.join(F.broadcast(left.select(key).distinct()), key, "left_semi")
+        if how in ("left_semi", "left_anti"):
+            return left.join(F.broadcast(right.select(key).distinct()), key, how)
+        if how == "left" and unique_right:
+            return left.join(F.broadcast(right), key, how)
     strategy = None
     if how == "inner":
         fits = size.bytes / size.tasks <= HASH_TABLE_BYTES

@@ -67,7 +67,9 @@ def outcomes(feed: DataFrame, content: DataFrame) -> DataFrame:
     readable = content.groupBy("path").agg(
         F.bool_or(F.col("content").isNotNull()).alias("readable")
     )
-    files = balanced_join(feed.select("path", "snapshot"), readable, "path", "left")
+    files = balanced_join(
+        feed.select("path", "snapshot"), readable, "path", "left", unique_right=True
+    )
     return files.select(
         "path",
         "snapshot",

@@ -66,7 +66,9 @@ class CheckpointLog:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], CHECKPOINT_SCHEMA)
+            return self.spark.range(0).select(
+                *(F.lit(None).cast(f.dataType).alias(f.name) for f in CHECKPOINT_SCHEMA.fields)
+            )
 
     def current(self) -> DataFrame:
         return current_checkpoints(self.read())

@@ -41,6 +41,17 @@ def test_same_rows_as_a_plain_join(feed, content, how, min_rows, broadcast_bytes
     assert counted(joined) == counted(expected)
 
 
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 30])
+def test_unique_right_side(feed, content, broadcast_bytes, plan_of):
+    unique = content.groupBy("path").count()
+    joined = sf.balanced_join(
+        feed, unique, "path", "left", 100, broadcast_bytes, unique_right=True
+    )
+    assert counted(joined) == counted(feed.join(unique, "path", "left"))
+    if broadcast_bytes:
+        assert "_salt" not in plan_of(joined)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_empty_sides(feed, content, how):
     nothing, none = feed.where("snapshot < 0"), content.where("content = ''")
