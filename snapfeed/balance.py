@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 BUCKETS = 16384
 # Below this many rows a bucket is no burden to one task.
-MIN_ROWS = 100_000
+MIN_ROWS = 10_000
 # Equal rows travel as one row with a count of at most this many.
 MAX_COPIES = 10_000
 # Up to this size the narrow side is broadcast.
