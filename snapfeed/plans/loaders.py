@@ -8,7 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.content import document_rows, load_documents, split_elements
+from ..operators.content import (
+    document_rows,
+    load_documents,
+    outcome_rows,
+    outcomes,
+    split_elements,
+)
 from ..operators.feed import document_feed
 from ..operators.scope import make_scope
 from ..sources.checkpoints import CheckpointLog
@@ -99,3 +105,12 @@ class ContentLoader(PathLoader):
         else:
             documents = document_rows(open_changed_files(feed, self.root, self.partitions))
         return split_elements(documents) if self.mode == "elements" else documents
+
+    def outcomes(self) -> DataFrame:
+        """How each file of the loaded run went; the failed ones may be kept for later."""
+        if self.current_run is None:
+            raise ValueError("nothing was loaded yet")
+        feed = self.current_run.changes()
+        if self.content is not None:
+            return outcomes(feed, self.content)
+        return outcome_rows(open_changed_files(feed, self.root, self.partitions))

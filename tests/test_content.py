@@ -135,8 +135,16 @@ def test_loader_opens_files_without_a_content_table(spark, make_index, tree, tmp
     )
     log = sf.CheckpointLog(spark, str(tmp_path / "log"))
     loader = sf.ContentLoader(index, log, "/ifs", root=tree, mode="elements", partitions=3)
+    with pytest.raises(ValueError):
+        loader.outcomes()
     assert sorted(r.page_content for r in loader.load().collect()) == ["deep", "one", "two é"]
+    failed = {(r.path, r.error) for r in loader.outcomes().where("not ok").collect()}
+    assert failed == {("/ifs/bad", "unreadable"), ("/ifs/gone", "missing")}
     assert loader.commit()
+    table = spark.createDataFrame([("/ifs/a", "x")], "path string, content string")
+    again = sf.ContentLoader(index, log, "/ifs", app_name="table", content=table)
+    assert [r.page_content for r in again.load().collect()] == ["x"]
+    assert sf.run_summary(again.outcomes()).first().errors == 3
 
 
 def test_a_function_of_the_user_per_file(feed):

@@ -122,6 +122,36 @@ def test_the_condition_reaches_the_scan(spark, index, tmp_path, plan_of):
         assert "lin" not in schema
 
 
+@pytest.mark.parametrize(
+    ("mode", "pushed"),
+    [("subtree", "Or(EqualTo(path,/ifs/f),StringStartsWith(path,/ifs/f/))"),
+     ("phrase", "StringContains(path,/ifs/f)")],
+)
+def test_folder_modes_reach_the_scan(spark, index, tmp_path, plan_of, mode, pushed):
+    sf.write_index(index, str(tmp_path / "i"))
+    stored = sf.read_index(spark, str(tmp_path / "i"), nested=False)
+    assert pushed in plan_of(sf.scan_scope(stored, sf.FolderScope("/ifs/f", mode)))
+
+
+def test_latest_snapshot_from_footers(spark, index, tmp_path, plan_of):
+    sf.write_index(index, str(tmp_path / "i"))
+    settings = {
+        "spark.sql.parquet.aggregatePushdown": "true",
+        "spark.sql.sources.useV1SourceList": "",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        stored = sf.read_index(spark, str(tmp_path / "i"), nested=False)
+        plan = plan_of(sf.operators.feed.latest_snapshot_row(stored))
+        assert "PushedAggregation: [MAX(s2)]" in plan
+        assert sf.latest_snapshot(stored) == 9
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_layout_keeps_ranges_of_snapshots_apart(spark, make_index, tmp_path):
     index = make_index(
         [(i, f"/ifs/f{i:04}", "regular", 0 if i < 300 else i % 7, ["ENTRY_ADDED"]) for i in range(400)]
