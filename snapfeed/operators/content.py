@@ -62,11 +62,14 @@ def split_elements(documents: DataFrame) -> DataFrame:
 def outcomes(feed: DataFrame, content: DataFrame) -> DataFrame:
     """One row per changed file: ``path, snapshot, ok, error``.
 
-    Only a flag per path crosses the network, never the content.
+    A file can be read if its path has more rows than rows without content. Both
+    are counted apart: the one scan reads paths only, the other only row groups
+    that have nulls at all. No text is read where all files are fine, and none
+    crosses the network.
     """
-    readable = content.groupBy("path").agg(
-        F.bool_or(F.col("content").isNotNull()).alias("readable")
-    )
+    rows = content.select("path", F.lit(1).alias("n"))
+    empty = content.where(F.col("content").isNull()).select("path", F.lit(-1).alias("n"))
+    readable = rows.union(empty).groupBy("path").agg((F.sum("n") > 0).alias("readable"))
     files = balanced_join(
         feed.select("path", "snapshot"), readable, "path", "left", unique_right=True
     )

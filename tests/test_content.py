@@ -164,6 +164,15 @@ def test_a_function_of_the_user_per_file(feed):
     assert sf.run_summary(found).first().errors == 2
 
 
+def test_outcomes_read_paths_and_nulls_only(spark, feed, content, tmp_path, plan_of):
+    content.write.parquet(str(tmp_path / "content"))
+    plan = plan_of(sf.outcomes(feed, spark.read.parquet(str(tmp_path / "content"))))
+    scans = [block for block in plan.split("\n\n") if "ReadSchema" in block]
+    with_text = [scan for scan in scans if "content:string" in scan]
+    assert len(scans) == 2 and len(with_text) == 1
+    assert "IsNull(content)" in with_text[0]
+
+
 def test_only_flags_and_paths_are_shuffled(feed, content, plan_of, spark):
     monkey = sf.balanced_join(feed, content.select("path").distinct(), "path", "left_anti")
     assert "content" not in plan_of(monkey.select("path")).split("Exchange")[0]
