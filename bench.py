@@ -43,7 +43,7 @@ def run_cost(spark: SparkSession) -> dict[str, float]:
         "*", "explode(sequence(0, 7)) as period"
     ).selectExpr(
         "(l_orderkey * 8 + l_linenumber) * 8 + period as lin",
-        "concat('/ifs/data/', l_returnflag, '/', period, '/', l_orderkey, '-', l_linenumber) as path",
+        "concat_ws('/', '/ifs/data', l_returnflag, period, l_orderkey, l_linenumber) as path",
         "'regular' as file_type",
         "cast(datediff(l_shipdate, date '1990-01-01') + 5000 * period as bigint) as s2",
         "array('ENTRY_ADDED') as change_types",

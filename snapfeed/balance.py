@@ -180,18 +180,19 @@ def range_sorted(
 ) -> DataFrame:
     """Rows by the keys, as consecutive ranges over all tasks.
 
-    A key that holds too many rows for one task is split: among its rows by
-    their other values, among equal rows by counted pieces.
+    A key that holds too many rows for one task is split by a last sort key, a
+    hash of all values and of the number of the copy. Rows are numbered by
+    counting equal ones, so a recomputed task numbers them the same way, and are
+    single rows again when the ranges are drawn, so that each weighs what it is.
     """
     columns = df.columns
     order: list[str | Column] = list(keys)
-    heavy = measure(df, keys, min_rows).heavy
-    if heavy:
-        df = fold_copies(df, columns)
-        order.append(F.xxhash64(*columns, "_piece"))
+    if measure(df, keys, min_rows).heavy:
+        pieces = fold_copies(df, columns).repartition(*columns, "_piece")
+        df = pieces.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
+        order.append(F.xxhash64(*columns, "_piece", "_copy"))
     ranged = df.repartitionByRange(*([partitions] if partitions else []), *order)
-    rows = ranged.sortWithinPartitions(*order)
-    return unfold_copies(rows).select(*columns) if heavy else rows
+    return ranged.sortWithinPartitions(*order).select(*columns)
 
 
 def fold_copies(df: DataFrame, columns: list[str]) -> DataFrame:

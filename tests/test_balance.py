@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import snapfeed as sf
 from snapfeed.balance import fold_copies, measure, unfold_copies
@@ -85,6 +86,23 @@ def test_the_hot_key_is_dealt_out(feed, content):
         feed.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_equal_rows_lie_in_several_ranges(spark, monkeypatch):
+    monkeypatch.setattr("snapfeed.balance.MAX_COPIES", 100)
+    rows = [("hot", 1)] * 1600 + [(f"p{n}", n) for n in range(800)]
+    df = spark.createDataFrame(rows, "x string, y int").coalesce(3)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = sf.range_sorted(df, ["x"], min_rows=50)
+        sizes = [
+            r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        ]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == len(rows) and max(sizes) < 600
+    in_order = [r.x for r in sf.range_sorted(df, ["x"], min_rows=50).collect()]
+    assert in_order == sorted(x for x, _ in rows)
+
+
 def test_equal_rows_fold_and_unfold(spark, monkeypatch):
     monkeypatch.setattr("snapfeed.balance.MAX_COPIES", 7)
     rows = [("a", 1)] * 50 + [("b", 2)] + [(None, None)] * 7

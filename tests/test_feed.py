@@ -124,8 +124,10 @@ def test_the_condition_reaches_the_scan(spark, index, tmp_path, plan_of):
 
 @pytest.mark.parametrize(
     ("mode", "pushed"),
-    [("subtree", "Or(EqualTo(path,/ifs/f),StringStartsWith(path,/ifs/f/))"),
-     ("phrase", "StringContains(path,/ifs/f)")],
+    [
+        ("subtree", "Or(EqualTo(path,/ifs/f),StringStartsWith(path,/ifs/f/))"),
+        ("phrase", "StringContains(path,/ifs/f)"),
+    ],
 )
 def test_folder_modes_reach_the_scan(spark, index, tmp_path, plan_of, mode, pushed):
     sf.write_index(index, str(tmp_path / "i"))
@@ -154,7 +156,10 @@ def test_latest_snapshot_from_footers(spark, index, tmp_path, plan_of):
 
 def test_layout_keeps_ranges_of_snapshots_apart(spark, make_index, tmp_path):
     index = make_index(
-        [(i, f"/ifs/f{i:04}", "regular", 0 if i < 300 else i % 7, ["ENTRY_ADDED"]) for i in range(400)]
+        [
+            (i, f"/ifs/f{i:04}", "regular", 0 if i < 300 else i % 7, ["ENTRY_ADDED"])
+            for i in range(400)
+        ]
     )
     sf.write_index(index, str(tmp_path / "i"), partitions=4)
     stored = sf.read_index(spark, str(tmp_path / "i"), nested=False)

@@ -108,7 +108,11 @@ def test_predicates_that_only_look_like_queries(predicate):
 
 def test_dataset_is_joined_to_the_other_conditions_as_a_whole(make_index):
     index = make_index(
-        [(1, "/ifs/a", "regular", 1, []), (2, "/ifs/b", "directory", 1, []), (3, "/ifs/c", "regular", 9, [])]
+        [
+            (1, "/ifs/a", "regular", 1, []),
+            (2, "/ifs/b", "directory", 1, []),
+            (3, "/ifs/c", "regular", 9, []),
+        ]
     )
     scope = sf.DatasetScope("either", "lin = 2 or lin = 1 or lin = 3")
     feed = sf.directory_changes(index, scope, 0, 5)
