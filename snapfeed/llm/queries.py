@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import conversation_digests, format_conversations
 from .common import table
+from .decontam import judge_contamination
 from .mixing import mix_sources
 from .neardup import near_duplicates
 from .quality import judge_quality
@@ -40,10 +41,15 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
 QUERIES = {
     "op2_quality": op2_quality,
     "op4_neardup": op4_neardup,
     "op5_chat": op5_chat,
     "op6_urls": op6_urls,
     "op7_mixing": op7_mixing,
+    "op8_decontam": op8_decontam,
 }
