@@ -9,6 +9,7 @@ from .common import table
 from .decontam import judge_contamination
 from .mixing import mix_sources
 from .neardup import near_duplicates
+from .pii import replace_entities
 from .quality import judge_quality
 from .urls import judge_urls, rules_table
 
@@ -45,6 +46,10 @@ def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op2_quality": op2_quality,
     "op4_neardup": op4_neardup,
@@ -52,4 +57,5 @@ QUERIES = {
     "op6_urls": op6_urls,
     "op7_mixing": op7_mixing,
     "op8_decontam": op8_decontam,
+    "op10_pii": op10_pii,
 }
