@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import conversation_digests, format_conversations
 from .common import table
 from .decontam import judge_contamination
+from .html_crf import extract_text
 from .mixing import mix_sources
 from .neardup import near_duplicates
 from .pii import replace_entities
@@ -14,6 +15,10 @@ from .quality import judge_quality
 from .urls import judge_urls, rules_table
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("key")
 
@@ -51,6 +56,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html": op1_html,
     "op2_quality": op2_quality,
     "op4_neardup": op4_neardup,
     "op5_chat": op5_chat,
