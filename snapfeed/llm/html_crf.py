@@ -16,7 +16,7 @@ from .html_blocks import Block, leaf_blocks
 from .html_labelled import labelled_pages
 
 #: Labelled pages that the field is trained on, passes over them, and step.
-PAGES, PASSES, STEP = 400, 12, 0.3
+PAGES, PASSES, STEP = 800, 16, 0.3
 
 
 def text_features(block: Block) -> list[str]:

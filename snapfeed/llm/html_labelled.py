@@ -27,7 +27,7 @@ class _Page:
         self.draw = draw
         self.kept: set[str] = set()
         self.all: set[str] = set()
-        self.paragraph = draw.choice(["p", "p", "p", "div"])
+        self.paragraph = draw.choice(["p"] * 9 + ["div"])
         self.letters = draw.choice(["etaoinshrdlu", "enisratdhulcg", "eaosrnidlctu", "esaitnrulodcé", "оеаинтсрвлкм"])
 
     def words(self, low: int, high: int, main: bool, stop: str = ".") -> str:

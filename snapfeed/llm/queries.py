@@ -12,6 +12,7 @@ from .mixing import mix_sources
 from .neardup import near_duplicates
 from .pii import replace_entities
 from .quality import judge_quality
+from .repeats import remove_repeats
 from .urls import judge_urls, rules_table
 
 
@@ -51,6 +52,10 @@ def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -63,5 +68,6 @@ QUERIES = {
     "op6_urls": op6_urls,
     "op7_mixing": op7_mixing,
     "op8_decontam": op8_decontam,
+    "op9_repeats": op9_repeats,
     "op10_pii": op10_pii,
 }
