@@ -30,7 +30,9 @@ class _Page:
         self.paragraph = draw.choice(["p"] * 9 + ["div"])
         self.letters = draw.choice(["etaoinshrdlu", "enisratdhulcg", "eaosrnidlctu", "esaitnrulodcé", "оеаинтсрвлкм"])
 
-    def words(self, low: int, high: int, main: bool, stop: str = ".") -> str:
+    def words(self, low: int, high: int, main: bool, stop: str | None = None) -> str:
+        if stop is None:
+            stop = self.draw.choice([".", ".", ".", ".", "!", "?", "", " |", "%"])
         while True:
             n = self.draw.randint(low, high)
             text = " ".join("".join(self.draw.choices(self.letters, k=self.draw.randint(2, 9))) for _ in range(n))
