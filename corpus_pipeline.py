@@ -1,11 +1,20 @@
-"""A training corpus from ``documents``, in stages that each write and read Parquet."""
+"""A training corpus from ``documents``, in stages that each write and read Parquet.
+
+Every stage but the last returns the columns that it was given. What a stage
+rejects is gone for the next; the last gives the documents that the mix takes,
+with their sizes, their source's size and target, and how often each is taken.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from snapfeed.llm.common import cut, table, without
+from snapfeed.llm.decontam import judge_contamination
 from snapfeed.llm.mixing import mixed_documents
+from snapfeed.llm.neardup import near_duplicates
+from snapfeed.llm.pii import replace_entities
 from snapfeed.llm.quality import judge_quality
 
 
@@ -15,14 +24,39 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, judged.where("not kept"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return without(docs, near_duplicates(docs).where("not kept"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    judged = judge_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, judged.where("not kept"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with surrogates in place of personal data; ``n_chars`` follows the text."""
+    replaced = replace_entities(docs)
+    if "n_chars" in docs.columns:
+        replaced = replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return replaced.select(*docs.columns)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with their number of copies."""
     return mixed_documents(docs)
 
 
-STAGES = [("quality rules", quality), ("mixing", mixing)]
+STAGES = [
+    ("quality rules", quality),
+    ("near-duplicates", near_dedup),
+    ("decontamination", decontamination),
+    ("personal data", pii),
+    ("mixing", mixing),
+]
 
-#: Forests and drawn copies are beyond SQL; tests hold the stages against brute force.
+#: Forests, drawn copies and surrogates are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -13,6 +13,7 @@ from .neardup import near_duplicates
 from .pii import replace_entities
 from .quality import judge_quality
 from .repeats import remove_repeats
+from .tokens import count_tokens
 from .urls import judge_urls, rules_table
 
 
@@ -24,6 +25,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("key")
 
 
+def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("key")
 
@@ -63,6 +68,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html": op1_html,
     "op2_quality": op2_quality,
+    "op3_tokens": op3_tokens,
     "op4_neardup": op4_neardup,
     "op5_chat": op5_chat,
     "op6_urls": op6_urls,
