@@ -213,7 +213,8 @@ def fit_forest(stats: DataFrame, sample: int = SAMPLE, **options) -> Forest:
     """A forest of at most ``sample`` documents that pass the base rule, the lowest by hash."""
     sound = stats.where(f"n_words >= {LEAST_WORDS}").withColumn("draw", F.xxhash64("doc_id"))
     share = min(1.0, 1.5 * sample / max(1, sound.count()))  # so that tasks send few rows that are not used
-    rows = sound.where(F.col("draw") <= -(1 << 63) + int(share * ((1 << 64) - 1))).orderBy("draw", "doc_id", *_F).limit(sample)
+    most = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+    rows = sound.where(F.col("draw") <= most).orderBy("draw", "doc_id", *_F).limit(sample)
     x = np.array([tuple(row) for row in rows.select(*_F).collect()], float).reshape(-1, len(_F))
     return grow_forest(x[np.lexsort(x.T)], **options)
 
