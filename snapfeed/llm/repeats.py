@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .common import Rolling, blocks, buffers, buckets_for, cut, in_batches
 
 #: Bytes of a string that counts as repeated, and of the digit of the first pass.
-DEPTH, GRAM = 50, 16
+DEPTH, GRAM = 50, 24
 #: Bytes of text of a chunk and of a bucket of the radix passes.
 CHUNK_BYTES, BUCKET_BYTES = 3 << 20, 16 << 20
 #: Window starts that are ordered at a time inside a chunk.
@@ -37,18 +37,14 @@ _ROWS = pa.schema(
         ("n_removed", pa.int64()),
         ("n_spans", pa.int64()),
         ("kept_sha256", pa.string()),
-        ("kind", pa.int32()),
-        ("chunk", pa.int64()),
-        ("bucket", pa.int32()),
-        ("digits", pa.binary()),
     ]
 )
-_ROWS_DDL = f"{RESULT}, kind int, chunk long, bucket int, digits binary"
-_DONE, _WAITING, _WINDOWS = 0, 1, 2
+#: Bytes of a digit that are sent; its first two are also its bucket's.
+_SENT = 5
 
 
 def _zip(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
+    return zstandard.ZstdCompressor(level=5).compress(data)
 
 
 def _unzip(data: bytes) -> bytes:
@@ -126,12 +122,37 @@ class _Chunk:
         self.roll = roll
         self.digits = _Digits([gram, unit], self.ids[self.doc])
 
-    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """A flag for each byte in one of the ranges."""
-        edges = np.zeros(len(self.data) + 1, np.int32)
-        np.add.at(edges, starts, 1)
-        np.add.at(edges, ends, -1)
-        return np.cumsum(edges[:-1]) > 0
+    def settle(self, found: dict[int, bytes], n_buckets: int) -> None:
+        """Bytes that whole units take, and the strings that only the last pass can judge."""
+        code = self.digits.codes(found, n_buckets)[self.digits.of]
+        code[self.ids[self.doc] > self.digits.least[self.digits.of]] = 1
+        self.edges = np.zeros(len(self.data) + 1, np.int32)
+        whole = code == 1
+        self._cover(self.first[whole], self.last[whole] + DEPTH)
+        part = np.flatnonzero(code == 2)
+        lengths = self.last[part] - self.first[part] + 1
+        starts = np.repeat(self.first[part] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        owners = self.ids[np.repeat(self.doc[part], lengths)]
+        again = Rolling(self.data, 5) if len(starts) else self.roll
+        both = [self.roll.of(starts, starts + DEPTH, 3), again.of(starts, starts + DEPTH, 4)]
+        self.starts, self.owners, self.strings = starts, owners, _Digits(both, owners)
+
+    def finish(self, found: dict[int, bytes], n_buckets: int) -> Iterator[tuple]:
+        """The result's rows, with what the last pass says."""
+        known = self.strings.codes(found, n_buckets)[self.strings.of] == 1
+        known |= self.owners > self.strings.least[self.strings.of]
+        self._cover(self.starts[known], self.starts[known] + DEPTH)
+        gone = np.cumsum(self.edges[:-1]) > 0
+        for i, named in enumerate(self.known.tolist()):
+            a, b = self.offsets[i : i + 2]
+            raw, cut_out = self.data[a:b], gone[a:b]
+            begins = np.diff(np.concatenate([[False], cut_out]).astype(np.int8)) == 1
+            digest = hashlib.sha256(raw[~cut_out].tobytes()).hexdigest()
+            yield int(self.ids[i]) if named else None, len(raw), int(cut_out.sum()), int(begins.sum()), digest
+
+    def _cover(self, starts: np.ndarray, ends: np.ndarray) -> None:
+        np.add.at(self.edges, starts, 1)
+        np.add.at(self.edges, ends, -1)
 
 
 class _Digits:
@@ -151,8 +172,10 @@ class _Digits:
     def rows(self, chunk: int, n_buckets: int) -> Iterator[tuple[int, int, bytes]]:
         """Bucket, chunk and packed digits; a bucket is the most significant part."""
         for bucket, place in self._places(n_buckets):
-            packed = [np.ascontiguousarray(x[place].view(np.uint8).reshape(-1, 8)[:, :6]).tobytes() for x in self.digits]
-            yield bucket, chunk, b"".join([len(place).to_bytes(8), *packed, self.least[place].tobytes()])
+            packed = [np.ascontiguousarray(x[place].view(np.uint8).reshape(-1, 8)[:, :_SENT]).tobytes() for x in self.digits]
+            # ids by their first bytes, second bytes and so on, which compresses well
+            ids = self.least[place].view(np.uint8).reshape(-1, 8).T.tobytes()
+            yield bucket, chunk, b"".join([len(place).to_bytes(8), *packed, ids])
 
     def codes(self, found: dict[int, bytes], n_buckets: int) -> np.ndarray:
         """What the passes say of the distinct digits."""
@@ -176,9 +199,10 @@ def _unpack(table: pa.Table, n: int) -> tuple[list[np.ndarray], np.ndarray, list
         size = int.from_bytes(raw[:8])
         for k in range(n):
             wide = np.zeros((size, 8), np.uint8)
-            wide[:, :6] = np.frombuffer(raw, np.uint8, 6 * size, 8 + 6 * size * k).reshape(-1, 6)
+            wide[:, :_SENT] = np.frombuffer(raw, np.uint8, _SENT * size, 8 + _SENT * size * k).reshape(-1, _SENT)
             digits[k].append(wide.view(np.uint64).ravel())
-        least.append(np.frombuffer(raw, np.int64, size, 8 + 6 * size * n))
+        planes = np.frombuffer(raw, np.uint8, 8 * size, 8 + _SENT * size * n).reshape(8, size)
+        least.append(np.ascontiguousarray(planes.T).view(np.int64).ravel())
         sizes.append(size)
     return [np.concatenate(x) for x in digits], np.concatenate(least), sizes
 
@@ -228,17 +252,6 @@ def _window_codes(table: pa.Table) -> pa.Table:
     return _coded(table, out, sizes)
 
 
-def _finished(doc_id: int | None, raw: np.ndarray, gone: np.ndarray) -> tuple:
-    edges = np.diff(np.concatenate([[False], gone]).astype(np.int8))
-    kept = raw[~gone]
-    return doc_id, len(raw), int(gone.sum()), int((edges == 1).sum()), hashlib.sha256(kept.tobytes()).hexdigest()
-
-
-def _table(rows: list[tuple]) -> pa.Table:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(_ROWS)
-    return pa.table([pa.array(x, kind) for x, kind in zip(columns, _ROWS.types, strict=True)], schema=_ROWS)
-
-
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, a row per document.
 
@@ -253,7 +266,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     suffixes of a run begin with, and settles whole runs; the last is the string
     itself, for the edges of what is repeated. Each chunk of documents sends a
     digit once, with the smallest document that has it, so that a common passage
-    costs a row per chunk. Texts are moved once.
+    costs a row per chunk. Texts are moved, compressed, once before each later pass.
 
     A null or empty text has no bytes; rows with a null id neither lose bytes nor
     take any from others; rows of one id are no smaller than each other; an empty
@@ -274,76 +287,35 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
         return in_batches(rows(), _DIGITS, lambda row: len(row[2]))
 
-    digits = chunks.mapInArrow(send, "bucket int, chunk long, digits binary")
-    codes = digits.groupBy("bucket").applyInArrow(_unit_codes, "chunk long, bucket int, codes binary")
+    ddl = "bucket int, chunk long, digits binary"
+    codes_ddl = "chunk long, bucket int, codes binary"
+    units = chunks.mapInArrow(send, ddl).groupBy("bucket").applyInArrow(_unit_codes, codes_ddl)
+    units = cut(units, "repeats-units")
 
-    def settle(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        found = dict(zip(right.column("bucket").to_pylist(), right.column("codes").to_pylist(), strict=True))
+    def settled(left: pa.Table, right: pa.Table) -> Iterator[tuple[int, _Chunk, dict]]:
+        found: tuple[dict, dict] = {}, {}
+        for bucket, codes in zip(right.column("bucket").to_pylist(), right.column("codes").to_pylist(), strict=True):
+            found[bucket < 0][abs(bucket + (bucket < 0))] = codes  # those of strings count from -1 down
         for row in left.to_pylist():
             chunk = _Chunk(row)
             chunk.suffixes()
-            code = chunk.digits.codes(found, n_buckets)[chunk.digits.of]
-            code[chunk.ids[chunk.doc] > chunk.digits.least[chunk.digits.of]] = 1
-            whole = code == 1
-            gone = chunk.spans(chunk.first[whole], chunk.last[whole] + DEPTH)
-            part = np.flatnonzero(code == 2)
-            lengths = chunk.last[part] - chunk.first[part] + 1
-            starts = np.repeat(chunk.first[part] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-            doc = np.repeat(chunk.doc[part], lengths)
-            windows = _Digits(
-                [chunk.roll.of(starts, starts + DEPTH, 3), Rolling(chunk.data, 5).of(starts, starts + DEPTH, 4)] if len(starts) else [np.zeros(0, np.uint64)] * 2,
-                chunk.ids[doc],
-            )
-            waits = set(np.unique(doc).tolist())
-            for i, known in enumerate(chunk.known.tolist()):
-                if i not in waits:
-                    a, b = chunk.offsets[i : i + 2]
-                    result = _finished(int(chunk.ids[i]) if known else None, chunk.data[a:b], gone[a:b])
-                    out.append((*result, _DONE, row["chunk"], None, None))
-            if waits:
-                held = {i: (int(chunk.ids[i]), chunk.data[a:b].tobytes(), np.packbits(gone[a:b]).tobytes())
-                        for i in sorted(waits) for a, b in [chunk.offsets[i : i + 2]]}
-                state = pickle.dumps((held, doc, starts - chunk.offsets[doc], windows, n_buckets))
-                out.append((None, None, None, None, None, _WAITING, row["chunk"], None, _zip(state)))
-                out += [(None, None, None, None, None, _WINDOWS, chunk_no, bucket, packed)
-                        for bucket, chunk_no, packed in windows.rows(row["chunk"], n_buckets)]
-        return _table(out)
-
-    settled = cut(
-        chunks.groupBy("chunk").cogroup(codes.groupBy("chunk")).applyInArrow(settle, _ROWS_DDL), "repeats-settled"
-    )
+            chunk.settle(found[0], n_buckets)
+            yield row["chunk"], chunk, found[1]
+
+    def send_strings(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _as_table(
+            (x for no, chunk, _ in settled(left, right) for x in chunk.strings.rows(no, n_buckets)), _DIGITS
+        )
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        found = dict(zip(right.column("bucket").to_pylist(), right.column("codes").to_pylist(), strict=True))
-        for raw in left.column("digits").to_pylist():
-            held, doc, starts, windows, n = pickle.loads(_unzip(raw))
-            ids = np.array([held[i][0] for i in doc.tolist()], np.int64)
-            match = (windows.codes(found, n)[windows.of] == 1) | (ids > windows.least[windows.of])
-            order = np.argsort(doc, kind="stable")
-            edges = {i: (a, b) for i, a, b in zip(*_runs(doc[order]), strict=True)}
-            for i, (doc_id, text, packed) in held.items():
-                data = np.frombuffer(text, np.uint8)
-                gone = np.unpackbits(np.frombuffer(packed, np.uint8), count=len(data)).astype(bool)
-                mine = order[slice(*edges[i])]
-                at = starts[mine][match[mine]]
-                edge = np.zeros(len(data) + 1, np.int32)
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + DEPTH, -1)
-                out.append((*_finished(doc_id, data, gone | (np.cumsum(edge[:-1]) > 0)), _DONE, None, None, None))
-        return _table(out)
-
-    window_codes = (
-        settled.where(f"kind = {_WINDOWS}").select("bucket", "chunk", "digits")
-        .groupBy("bucket").applyInArrow(_window_codes, "chunk long, bucket int, codes binary")
-    )
-    waiting = settled.where(f"kind = {_WAITING}").select("chunk", "digits")
-    finished = waiting.groupBy("chunk").cogroup(window_codes.groupBy("chunk")).applyInArrow(finish, _ROWS_DDL)
-    columns = [x.split()[0] for x in RESULT.split(", ")]
-    return settled.where(f"kind = {_DONE}").select(*columns).unionAll(finished.select(*columns))
+        return _as_table((x for _, chunk, found in settled(left, right) for x in chunk.finish(found, n_buckets)), _ROWS)
+
+    by_chunk = chunks.groupBy("chunk")
+    strings = by_chunk.cogroup(units.groupBy("chunk")).applyInArrow(send_strings, ddl)
+    strings = cut(strings.groupBy("bucket").applyInArrow(_window_codes, codes_ddl), "repeats-strings")
+    codes = units.unionAll(strings.withColumn("bucket", -1 - F.col("bucket")))
+    return by_chunk.cogroup(codes.groupBy("chunk")).applyInArrow(finish, RESULT)
 
 
-def _runs(ranked: np.ndarray) -> tuple[list[int], list[int], list[int]]:
-    values, first = np.unique(ranked, return_index=True)
-    return values.tolist(), first.tolist(), [*first[1:].tolist(), len(ranked)]
+def _as_table(rows: Iterator[tuple], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_batches(list(in_batches(rows, schema)), schema)
