@@ -256,7 +256,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = components(links).select(F.col("id").alias("rep"), "comp")
     of_class = classes.join(comps, "rep", "left").select(*sets, F.coalesce("comp", "rep").alias("comp"))
     placed = signed.join(of_class, sets, "left").select(
-        "doc_id", "key", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id")
+        "doc_id",
+        "key",
+        "n_shingles",
+        F.when(F.isnotnull("doc_id"), F.coalesce("comp", "doc_id")).alias("component_id"),
     )
     return placed.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
