@@ -47,17 +47,18 @@ def bucket_of(keys: list[str]) -> Column:
 
 
 def row_bytes(schema: T.StructType) -> Column:
-    """Size of a row with text and lists of text counted as they are."""
+    """Size of a row: text, bytes and lists of text as they are, other nested values by their JSON."""
     total = F.lit(16).cast("bigint")
     for field in schema.fields:
         column = F.col(field.name)
-        if isinstance(field.dataType, T.ArrayType):
-            column = F.array_join(column.cast("array<string>"), ",")
-        width = (
-            F.octet_length(column)
-            if isinstance(field.dataType, T.StringType | T.ArrayType)
-            else F.lit(8)
-        )
+        if isinstance(field.dataType, T.StringType | T.BinaryType):
+            width = F.octet_length(column)
+        elif field.dataType == T.ArrayType(T.StringType()):
+            width = F.octet_length(F.array_join(column, ","))
+        elif isinstance(field.dataType, T.ArrayType | T.StructType | T.MapType):
+            width = F.octet_length(F.to_json(column))
+        else:
+            width = F.lit(8)
         total = total + 8 + F.coalesce(width, F.lit(0))
     return total
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..balance import MIN_ROWS, range_sorted
@@ -25,28 +25,39 @@ def ordered(entries: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     return range_sorted(entries, list(ORDER), min_rows=min_rows)
 
 
+def _key(lin: Column, path: Column) -> Column:
+    """A value that sorts as the pair does, null before all others."""
+    return F.struct(F.isnotnull(lin), lin, F.isnotnull(path), path)
+
+
 def page_after(
-    entries: DataFrame, last: tuple[int, str] | None = None, size: int = DEFAULT_PAGE_SIZE
+    entries: DataFrame,
+    last: tuple[int | None, str | None] | None = None,
+    size: int = DEFAULT_PAGE_SIZE,
 ) -> DataFrame:
     """The ``size`` entries that follow the key ``(lin, path)`` of the last one seen.
 
     Each task keeps its first ``size`` rows only. Entries that share ``lin`` and
     path are told apart by neither key, so a page is filled up to the end of its
-    last key; that way no page border loses a row.
+    last key; that way no page border loses a row. Null keys come first, as in
+    :func:`ordered`, and may be the last ones seen.
     """
+    own = _key(F.col("lin"), F.col("path"))
+
+    def key_of(lin: int | None, path: str | None) -> Column:
+        return _key(F.lit(lin).cast("bigint"), F.lit(path).cast("string"))
+
     rest = entries
     if last is not None:
-        lin, path = F.lit(last[0]).cast("bigint"), F.lit(last[1])
-        rest = entries.where(
-            (F.col("lin") > lin) | ((F.col("lin") == lin) & (F.col("path") > path))
-        )
+        rest = entries.where(own > key_of(*last))
+        if last[0] is not None:  # a plain range, which reaches the scan
+            rest = rest.where(F.col("lin") >= F.lit(last[0]).cast("bigint"))
     border = rest.select("lin", "path").orderBy("lin", "path").limit(size)
-    end = border.agg(F.max(F.struct("lin", "path")).alias("end")).first()["end"]
-    if end is None:
+    end = border.select(_key(F.col("lin"), F.col("path")).alias("key")).agg(F.max("key").alias("end"))
+    end = end.select("end.*").toDF("has_lin", "lin", "has_path", "path").first()
+    if end is None or end["has_lin"] is None:
         return rest.limit(0)
-    lin, path = F.lit(end["lin"]).cast("bigint"), F.lit(end["path"])
-    page = rest.where((F.col("lin") < lin) | ((F.col("lin") == lin) & (F.col("path") <= path)))
-    return ordered(page)
+    return ordered(rest.where(own <= key_of(end["lin"], end["path"])))
 
 
 def number_pages(

@@ -15,7 +15,7 @@ from ..sources.datasets import check_predicate, dataset_predicate
 
 @dataclass(frozen=True)
 class FolderScope:
-    """Files of a folder. Spellings of one folder share one checkpoint."""
+    """Files of a folder. Spellings of one folder share one checkpoint per mode."""
 
     folder: str
     mode: str = "prefix"
@@ -29,7 +29,8 @@ class FolderScope:
 
     @property
     def key(self) -> str:
-        return self.folder
+        """The folder; modes that match otherwise than the default one have keys of their own."""
+        return self.folder if self.mode == "prefix" else f"{self.mode}:{self.folder}"
 
     def condition(self) -> Column:
         return folder_condition(self.folder, self.mode)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import snapfeed as sf
-from snapfeed.balance import fold_copies, measure, unfold_copies
+from snapfeed.balance import fold_copies, measure, row_bytes, unfold_copies
 
 LEFT = "path string, snapshot bigint, change_types array<string>"
 
@@ -121,3 +121,9 @@ def test_the_strategy_follows_the_measured_size(feed, content, plan_of, monkeypa
     monkeypatch.setattr("snapfeed.balance.HASH_TABLE_BYTES", 0)
     larger = plan_of(sf.balanced_join(feed, content, "path", "inner", broadcast_bytes=0))
     assert "SortMergeJoin Inner" in larger
+
+
+def test_nested_texts_are_measured(spark):
+    wide = spark.range(1000).selectExpr("id", "named_struct('t', repeat('x', 2000)) as s", "map('k', repeat('y', 500)) as m")
+    measured = wide.agg(F.sum(row_bytes(wide.schema))).first()[0]
+    assert measured > 2_500_000

@@ -57,3 +57,16 @@ def test_pages_in_turn_give_every_entry_once(entries, rows, size, below):
         seen += [tuple(row) for row in page]
         last = (page[-1].lin, page[-1].path)
     assert seen == sorted(rows, key=key)
+
+
+def test_pages_over_null_keys(make_index):
+    rows = [(lin, path, "regular", 1, None) for lin in (None, None, 1, 2) for path in (None, "/a", "/a", "/b")]
+    index = make_index(rows)
+    for size in (1, 3, 10_000):
+        seen, last = [], None
+        while page := sf.page_after(index, last, size).collect():
+            seen += [(row["lin"], row["path"]) for row in page]
+            last = seen[-1]
+        assert len(seen) == len(rows)
+        rank = [(lin is not None, lin or 0, path is not None, path or "") for lin, path in seen]
+        assert rank == sorted(rank)

@@ -117,3 +117,8 @@ def test_dataset_is_joined_to_the_other_conditions_as_a_whole(make_index):
     scope = sf.DatasetScope("either", "lin = 2 or lin = 1 or lin = 3")
     feed = sf.directory_changes(index, scope, 0, 5)
     assert [row.path for row in feed.collect()] == ["/ifs/a"]
+
+
+def test_modes_have_checkpoints_of_their_own():
+    keys = {sf.FolderScope("/ifs/data", mode=mode).key for mode in ("prefix", "subtree", "phrase")}
+    assert len(keys) == 3 and "/ifs/data" in keys
