@@ -160,9 +160,20 @@ ORACLES = {
         body="""
         select 'app_a' as app, 'folder_paths' as kind, scope, 1 as version,
                (select max(s2) from file_index) as snapshot
-        from (values ('/ifs/data/en'), ('/ifs/data/de'), ('/ifs/data/fr')) as scopes (scope)
+        from (select distinct '/ifs/data/' || lang as scope from documents)
         union all select 'app_a', 'folder_paths', '/ifs/data/en', 2, 2""",
     ),
+    "checkpoint_modes": sql_over(
+        "mode_index",
+        body=" union all ".join(
+            f"select '{mode}' as mode, {FEED} from mode_index where {condition}"
+            for mode, condition in (
+                ("prefix", "starts_with(path, '/ifs/data')"),
+                ("subtree", "starts_with(path, '/ifs/data/')"),
+                ("phrase", "contains(path, '/ifs/data')"),
+            )
+        ),
+    ),
     "changes_first_run": over_index(FEED, f"{ENGLISH} and s2 > -1 and {UP_TO_LATEST}"),
     "changes_incremental": over_index(FEED, f"{ENGLISH} and s2 > 9 and {UP_TO_LATEST}"),
     "changes_forced": over_index(FEED, f"{ENGLISH} and s2 > 0 and {UP_TO_LATEST}"),
@@ -176,6 +187,9 @@ ORACLES = {
     "all_files": over_index(
         "path, s2 as snapshot", f"{EVERYTHING} and s2 > 0 and {UP_TO_LATEST} and {ADDED}"
     ),
+    "run_all_files": over_index(
+        "path, s2 as snapshot", f"{ENGLISH} and s2 > 0 and {UP_TO_LATEST} and {ADDED}"
+    ),
     "document_feed": over_index(
         f"'' as page_content, path as source, s2 as snapshot, {CHANGES}",
         f"{ENGLISH} and s2 > -1 and {UP_TO_LATEST}",
@@ -183,6 +197,15 @@ ORACLES = {
     "page_after": over_index(
         FLAT, f"{EVERYTHING} and (lin, path) > (100, '/ifs/data') order by lin, path limit 500"
     ),
+    "page_walk": sql_over(
+        "gap_index",
+        body=f"""
+        , numbered as (
+            select *, row_number() over (order by lin nulls first, path nulls first) - 1 as position,
+                   (count(*) over () + 3) // 4 as size
+            from gap_index)
+        select {FLAT}, (position // size)::integer as page from numbered""".lstrip(),
+    ),
     "number_pages": sql_over(
         "file_index",
         body=f"""
@@ -192,6 +215,15 @@ ORACLES = {
         select {FLAT}, position, position // 100 as page from numbered""".lstrip(),
     ),
     "load_documents": over_feed("file_content", DOCUMENTS),
+    "load_wide_feed": over_feed(
+        "file_content",
+        "select path, snapshot, upper(path) as name, snapshot as first, content "
+        "from feed join file_content using (path)",
+    ),
+    "loaded_outcomes": over_feed(
+        "stored_files",
+        OUTCOMES.replace("content is not null as ok,", "content is not null as ok, length(content) as n_chars,"),
+    ),
     "open_files": over_feed("file_content", DOCUMENTS),
     "load_elements": over_feed("file_content", ELEMENTS + "select * from elements"),
     "missing_files": over_feed(

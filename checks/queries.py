@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,7 +123,8 @@ def checkpoint_commit(spark, sf_dir):
     """Runs and commits over every language; stale and repeated commits change nothing."""
     entries = index(spark, sf_dir)
     log = sf.CheckpointLog(spark, scratch_dir(spark, "checkpoints"))
-    for folder in ("/ifs/data/en", "/ifs/data/de/", "/ifs/data/fr"):
+    languages = [row.lang for row in table(spark, sf_dir, "documents").select("lang").distinct().collect()]
+    for folder in (f"/ifs/data/{lang}" for lang in sorted(languages)):
         with sf.IncrementalRun(entries, log, sf.FolderScope(folder), app="app_a") as run:
             run.changes().write.format("noop").mode("overwrite").save()
         run.commit()
@@ -130,6 +133,18 @@ def checkpoint_commit(spark, sf_dir):
     return log.current()
 
 
+def checkpoint_modes(spark, sf_dir):
+    """One application in all modes of one folder; each mode has its own first run."""
+    entries = sf.sources.index.with_change_list(view(spark, sf_dir, "mode_index"))
+    log = sf.CheckpointLog(spark, scratch_dir(spark, "checkpoints"))
+    found = []
+    for mode in ("prefix", "subtree", "phrase"):
+        run = sf.IncrementalRun(entries, log, sf.FolderScope("/ifs/data", mode), app="app_a")
+        found.append(run.changes().select(F.lit(mode).alias("mode"), "*"))
+        run.commit()
+    return joined(found[0].union(found[1]).union(found[2]))
+
+
 def changes_first_run(spark, sf_dir):
     return joined(english_run(spark, sf_dir).changes())
 
@@ -158,6 +173,10 @@ def all_files(spark, sf_dir):
     return sf.all_files(index(spark, sf_dir), EVERYTHING)
 
 
+def run_all_files(spark, sf_dir):
+    return english_run(spark, sf_dir, committed=9).all_files()
+
+
 def document_feed(spark, sf_dir):
     return flat_documents(english_run(spark, sf_dir).documents())
 
@@ -167,6 +186,21 @@ def page_after(spark, sf_dir):
     return joined(sf.page_after(entries, (100, "/ifs/data"), 500))
 
 
+def page_walk(spark, sf_dir):
+    """Four pages in turn over an index in which numbers and paths are missing."""
+    entries = sf.sources.index.with_change_list(view(spark, sf_dir, "gap_index"))
+    size = -(-entries.count() // 4)
+    pages, last = [], None
+    for number in range(4):
+        page = sf.page_after(entries, last, size)
+        pages.append(page.select(F.lit(number).alias("page"), "*"))
+        end = page.tail(1)
+        if not end:
+            break
+        last = (end[0]["lin"], end[0]["path"])
+    return joined(reduce(DataFrame.union, pages))
+
+
 def number_pages(spark, sf_dir):
     return joined(sf.number_pages(sf.scan_scope(index(spark, sf_dir), EVERYTHING), 100))
 
@@ -176,6 +210,16 @@ def load_documents(spark, sf_dir):
     return flat_documents(sf.load_documents(full_feed(spark, sf_dir), content))
 
 
+def load_wide_feed(spark, sf_dir):
+    """A feed with a nested column, which is carried along and weighed."""
+    feed = full_feed(spark, sf_dir)
+    wide = feed.withColumn("extra", F.struct(F.upper("path").alias("name"), F.array("snapshot").alias("list")))
+    content = view(spark, sf_dir, "file_content")
+    return sf.balanced_join(wide, content, "path", "inner").select(
+        "path", "snapshot", F.col("extra.name").alias("name"), F.col("extra.list")[0].alias("first"), "content"
+    )
+
+
 def load_elements(spark, sf_dir):
     content = view(spark, sf_dir, "file_content")
     return flat_documents(sf.load_elements(full_feed(spark, sf_dir), content))
@@ -189,7 +233,22 @@ def open_files(spark, sf_dir):
     return flat_documents(sf.document_rows(opened))
 
 
+def loaded_outcomes(spark, sf_dir):
+    """One load of the files on storage: its outcomes, and the documents it gave."""
+    root = scratch_dir(spark, "files")
+    write_files(view(spark, sf_dir, "stored_files"), root)
+    log = sf.CheckpointLog(spark, scratch_dir(spark, "checkpoints"))
+    loader = sf.ContentLoader(index(spark, sf_dir), log, "/ifs/data", root=root, partitions=8)
+    documents = loader.load().select(
+        F.col("metadata.source").alias("path"),
+        F.col("metadata.snapshot").alias("snapshot"),
+        F.length("page_content").cast("long").alias("n_chars"),
+    )
+    return loader.outcomes().join(documents, ["path", "snapshot"], "left")
+
+
 def write_files(content: DataFrame, root: str) -> None:
+    """A file per row; without content, one that is not text."""
     uri = file_uri(root)
 
     def write(batches):
@@ -201,7 +260,7 @@ def write_files(content: DataFrame, root: str) -> None:
             for path, text in zip(batch["path"], batch["content"], strict=True):
                 store.create_dir(base + path.rpartition("/")[0], recursive=True)
                 with store.open_output_stream(base + path, compression=None) as file:
-                    file.write(text.encode())
+                    file.write(b"\xff" if text is None else text.encode())
             yield pd.DataFrame({"files": [len(batch)]})
 
     spread = content.repartition(8)
@@ -294,6 +353,7 @@ QUERIES = {
         last_snapshot,
         current_checkpoints,
         checkpoint_commit,
+        checkpoint_modes,
         changes_first_run,
         changes_incremental,
         changes_forced,
@@ -301,12 +361,16 @@ QUERIES = {
         new_files,
         deleted_files,
         all_files,
+        run_all_files,
         document_feed,
         page_after,
+        page_walk,
         number_pages,
         load_documents,
+        load_wide_feed,
         load_elements,
         open_files,
+        loaded_outcomes,
         missing_files,
         present_files,
         outcomes,

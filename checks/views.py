@@ -39,6 +39,29 @@ VIEWS = {
                     when 6 then '/IFS/DATA/' || source || '.txt'
                     else '/ifs/data.old/' || source end as path
         from {documents}""",
+    # The index with gaps: entries without a file number and entries without a path.
+    "gap_index": """
+        select case when doc_id % 4 = 0 then null else doc_id end as lin,
+               case when doc_id % 4 = 1 then null
+                    else '/ifs/data/' || source || '/doc' || cast(doc_id as string) end as path,
+               'regular' as file_type,
+               doc_id % 13 as s2,
+               case when doc_id % 2 = 0 then split('ENTRY_ADDED', ',') else null end
+                   as change_types
+        from {documents}""",
+    # An index whose paths lie on both sides of the borders between the folder modes.
+    "mode_index": """
+        select doc_id as lin,
+               case doc_id % 4
+                    when 0 then '/ifs/data/' || source || '.txt'
+                    when 1 then '/ifs/data2/' || source || '.txt'
+                    when 2 then '/ifs/backup/ifs/data/' || source || '.txt'
+                    else '/ifs/dat/' || source || '.txt' end as path,
+               'regular' as file_type,
+               doc_id % 13 as s2,
+               case when doc_id % 2 = 0 then split('ENTRY_ADDED', ',') else null end
+                   as change_types
+        from {documents}""",
     # The files on storage. Some have moved, so their old paths have no content.
     "file_content": """
         select case when doc_id % 17 = 0 then '/ifs/archive/' else '/ifs/data/' end

@@ -15,20 +15,30 @@ from pyspark.sql import functions as F
 
 from ..balance import balanced_join
 from ..functions.text import element_category, page_text, trim_line
+from ..scratch import stored
 from ..sources.files import MISSING, UNREADABLE
 
 
 def document_rows(read: DataFrame) -> DataFrame:
-    """Documents of the rows that were read; rows without content are dropped."""
+    """Documents of the rows that were read; rows without content are dropped.
+
+    Of a file that was read in pieces each piece is a document, with ``piece_no``
+    and ``first_line`` beside it.
+    """
     return read.where(F.col("content").isNotNull()).select(
         F.col("content").alias("page_content"),
         F.struct(F.col("path").alias("source"), "snapshot", "change_types").alias("metadata"),
+        *(name for name in ("piece_no", "first_line") if name in read.columns),
     )
 
 
 def outcome_rows(read: DataFrame) -> DataFrame:
-    """Outcome of each row that came with its content or its error."""
-    return read.select("path", "snapshot", F.col("error").isNull().alias("ok"), "error")
+    """Outcome of each file that came with its content or its error.
+
+    The last piece of a file tells, so that pieces need not be brought together.
+    """
+    last = read.where(~F.col("more")) if "more" in read.columns else read
+    return last.select("path", "snapshot", F.col("error").isNull().alias("ok"), "error")
 
 
 def load_documents(feed: DataFrame, content: DataFrame) -> DataFrame:
@@ -43,9 +53,12 @@ def load_elements(feed: DataFrame, content: DataFrame) -> DataFrame:
 
 
 def split_elements(documents: DataFrame) -> DataFrame:
-    """Each non-blank line as an element with its category and line number."""
+    """Each non-blank line as an element with its category and its line number in the file."""
+    before = F.col("first_line") if "first_line" in documents.columns else F.lit(0)
     lines = documents.select(
-        "metadata", F.posexplode(F.split("page_content", "\n")).alias("element_no", "line")
+        "metadata",
+        before.cast("int").alias("before"),
+        F.posexplode(F.split("page_content", "\n")).alias("element_no", "line"),
     )
     elements = lines.withColumn("page_content", trim_line(F.col("line"))).where(
         F.col("page_content") != ""
@@ -54,7 +67,7 @@ def split_elements(documents: DataFrame) -> DataFrame:
         "page_content",
         F.col("metadata")
         .withField("category", element_category(F.col("page_content")))
-        .withField("element_no", F.col("element_no"))
+        .withField("element_no", F.col("before") + F.col("element_no"))
         .alias("metadata"),
     )
 
@@ -99,7 +112,9 @@ def process_files(
     """Call a function of the user's own on each path and report how it went.
 
     A call that raises, or returns ``False``, is an error row; the others go on.
-    Runs in the executors, and again if a task is run again.
+    Runs in the executors, now and once: the outcomes are stored, and what is
+    derived from them does not call the function again. Only a task that is run
+    again calls it again.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,7 +129,8 @@ def process_files(
 
     work = feed.select("path", "snapshot")
     spread = work.repartition(partitions) if partitions else work
-    return spread.mapInPandas(run, "path string, snapshot bigint, ok boolean, error string")
+    done = spread.mapInPandas(run, "path string, snapshot bigint, ok boolean, error string")
+    return stored(done, "outcomes")
 
 
 def extract_page_text(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -11,18 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.changes import ENTRY_ADDED, ENTRY_DELETED, has_change
-from .scope import Scope, scope_condition
+from .scope import Scope, above, is_regular, scope_condition, up_to
 
 
 def regular_files(index: DataFrame) -> DataFrame:
-    return index.where(F.col("file_type") == "regular")
+    return index.where(is_regular())
 
 
 def changed_between(index: DataFrame, low: int, high: int) -> DataFrame:
     """Entries with ``low < s2 <= high``."""
-    return index.where(
-        (F.col("s2") > F.lit(low).cast("bigint")) & (F.col("s2") <= F.lit(high).cast("bigint"))
-    )
+    return index.where(above(low) & up_to(high))
 
 
 def latest_snapshot_row(index: DataFrame) -> DataFrame:

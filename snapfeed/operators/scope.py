@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from ..functions.paths import DEFAULT_ROOT, FOLDER_MODES, folder_condition, normalise_folder
 from ..sources.datasets import check_predicate, dataset_predicate
 
+# The type of an ordinary file, and the kinds of scope in a checkpoint.
+REGULAR = "regular"
+FOLDERS = "folder_paths"
+DATASETS = "datasets"
+
 
 @dataclass(frozen=True)
 class FolderScope:
@@ -20,7 +25,7 @@ class FolderScope:
     folder: str
     mode: str = "prefix"
     root: str = DEFAULT_ROOT
-    kind: str = field(default="folder_paths", init=False)
+    kind: str = field(default=FOLDERS, init=False)
 
     def __post_init__(self) -> None:
         if self.mode not in FOLDER_MODES:
@@ -42,7 +47,7 @@ class DatasetScope:
 
     name: str
     predicate: str
-    kind: str = field(default="datasets", init=False)
+    kind: str = field(default=DATASETS, init=False)
 
     def __post_init__(self) -> None:
         check_predicate(self.predicate)
@@ -78,16 +83,28 @@ def make_scope(
     return DatasetScope.lookup(dataset_definitions, dataset_name)
 
 
+def is_regular() -> Column:
+    return F.col("file_type") == REGULAR
+
+
+def above(low: int) -> Column:
+    return F.col("s2") > F.lit(low).cast("bigint")
+
+
+def up_to(high: int) -> Column:
+    return F.col("s2") <= F.lit(high).cast("bigint")
+
+
 def scope_condition(scope: Scope, low: int | None = None, high: int | None = None) -> Column:
     """Regular files of a scope, within ``(low, high]`` where bounds are given.
 
     Bounds are literals, so the whole condition reaches the scan.
     """
-    parts = [F.col("file_type") == "regular", scope.condition()]
+    parts = [is_regular(), scope.condition()]
     if low is not None:
-        parts.append(F.col("s2") > F.lit(low).cast("bigint"))
+        parts.append(above(low))
     if high is not None:
-        parts.append(F.col("s2") <= F.lit(high).cast("bigint"))
+        parts.append(up_to(high))
     return reduce(and_, parts)
 
 

@@ -6,6 +6,9 @@ once the DataFrame has been consumed. Loading again begins the next run.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import DataFrame
 
 from ..operators.content import (
@@ -18,8 +21,9 @@ from ..operators.content import (
 from ..operators.feed import document_feed
 from ..operators.scope import make_scope
 from ..sources.checkpoints import CheckpointLog
+from ..scratch import stored
 from ..sources.files import open_changed_files
-from .run import DEFAULT_APP, DEFAULT_VERSION, IncrementalRun
+from .run import DEFAULT_APP, DEFAULT_VERSION, IncrementalRun, consumed
 
 
 class PathLoader:
@@ -36,6 +40,7 @@ class PathLoader:
         app_name: str = DEFAULT_APP,
         app_version: int = DEFAULT_VERSION,
         folder_mode: str = "prefix",
+        high: int | None = None,
     ) -> None:
         self.index = index
         self.log = log
@@ -43,6 +48,7 @@ class PathLoader:
         self.force_scan = force_scan
         self.app_name = app_name
         self.app_version = app_version
+        self.high = high
         self.current_run: IncrementalRun | None = None
 
     def run(self) -> IncrementalRun:
@@ -53,6 +59,7 @@ class PathLoader:
             self.app_name,
             self.app_version,
             force_scan=self.force_scan,
+            high=self.high,
         )
         return self.current_run
 
@@ -64,6 +71,10 @@ class PathLoader:
             raise ValueError("nothing was loaded yet")
         return self.current_run.commit()
 
+    def consume(self, function: Callable[[DataFrame], Any]) -> Any:
+        """Load, hand over to ``function``, and commit once that has returned."""
+        return consumed(function, self.load(), self.commit)
+
 
 class DocumentLoader(PathLoader):
     """One empty document per changed file, with the file in its metadata."""
@@ -76,7 +87,10 @@ class ContentLoader(PathLoader):
     """Documents with content, whole files (``single``) or their ``elements``.
 
     Content comes from a table ``(path, content)``, or, without one, from the
-    files themselves, opened below ``root`` in the executors.
+    files themselves, opened below ``root`` in the executors. In the latter case
+    ``load()`` reads every file, once, into a table in the shared folder, from
+    which both the documents and the outcomes are taken: they tell of one and the
+    same read, and a read that fails leaves nothing to commit.
     """
 
     MODES = ("single", "elements")
@@ -88,6 +102,7 @@ class ContentLoader(PathLoader):
         root: str = "",
         mode: str = "single",
         partitions: int | None = None,
+        encoding: str = "utf-8",
         **kwargs,
     ) -> None:
         super().__init__(*args, **kwargs)
@@ -97,20 +112,29 @@ class ContentLoader(PathLoader):
         self.root = root
         self.mode = mode
         self.partitions = partitions
+        self.encoding = encoding
+        self.read: DataFrame | None = None
 
     def load(self) -> DataFrame:
+        self.read = None
         feed = super().load()
         if self.content is not None:
             documents = load_documents(feed, self.content)
         else:
-            documents = document_rows(open_changed_files(feed, self.root, self.partitions))
+            opened = open_changed_files(feed, self.root, self.partitions, encoding=self.encoding)
+            self.read = stored(opened, "files")
+            documents = document_rows(self.read)
         return split_elements(documents) if self.mode == "elements" else documents
 
     def outcomes(self) -> DataFrame:
         """How each file of the loaded run went; the failed ones may be kept for later."""
-        if self.current_run is None:
+        if self.current_run is None or (self.content is None and self.read is None):
             raise ValueError("nothing was loaded yet")
-        feed = self.current_run.changes()
-        if self.content is not None:
-            return outcomes(feed, self.content)
-        return outcome_rows(open_changed_files(feed, self.root, self.partitions))
+        if self.read is not None:
+            return outcome_rows(self.read)
+        return outcomes(self.current_run.changes(), self.content)
+
+    def commit(self) -> bool:
+        if self.content is None and self.read is None:
+            raise ValueError("nothing was loaded yet")
+        return super().commit()

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
+from typing import Any
 
 from pyspark.sql import DataFrame
 
 from ..operators.feed import (
+    all_files,
     deleted_files,
     document_feed,
     latest_snapshot,
@@ -21,6 +24,15 @@ DEFAULT_APP = "snapfeed"
 DEFAULT_VERSION = 1
 
 
+def consumed(function: Callable[[DataFrame], Any], feed: DataFrame, commit: Callable[[], bool]) -> Any:
+    """What ``function`` makes of the feed, committed afterwards; a lazy result is refused."""
+    result = function(feed)
+    if isinstance(result, DataFrame):
+        raise ValueError("nothing was committed: store the rows within the function")
+    commit()
+    return result
+
+
 class IncrementalRun:
     """What changed in a scope since the last commit, up to a fixed snapshot.
 
@@ -37,6 +49,8 @@ class IncrementalRun:
 
     ``since``       a snapshot to start from; a negative one means the checkpoint.
     ``force_scan``  start from 0, whatever the checkpoint.
+    ``high``        the highest snapshot, if known: :func:`recorded_high`, asked for
+                    before the index was read. Without it the index is scanned.
     """
 
     def __init__(
@@ -48,6 +62,7 @@ class IncrementalRun:
         version: int = DEFAULT_VERSION,
         since: int = -1,
         force_scan: bool = False,
+        high: int | None = None,
     ) -> None:
         self.index = index
         self.log = log
@@ -55,6 +70,7 @@ class IncrementalRun:
         self.app = app
         self.version = version
         self._since = 0 if force_scan else since
+        self._high = high
 
     @cached_property
     def low(self) -> int:
@@ -64,7 +80,7 @@ class IncrementalRun:
 
     @cached_property
     def high(self) -> int:
-        return latest_snapshot(self.index)
+        return latest_snapshot(self.index) if self._high is None else self._high
 
     def entries(self) -> DataFrame:
         """Index entries of the run, with ``lin`` for ordering and paging."""
@@ -79,6 +95,10 @@ class IncrementalRun:
     def deleted_files(self) -> DataFrame:
         return deleted_files(self.changes())
 
+    def all_files(self) -> DataFrame:
+        """Additions after snapshot 0 and up to ``high``, whatever the checkpoint."""
+        return all_files(self.index, self.scope, self.high)
+
     def documents(self) -> DataFrame:
         return document_feed(self.changes())
 
@@ -88,6 +108,10 @@ class IncrementalRun:
             self.app, self.scope.kind, self.scope.key, self.version, self.high
         )
 
+    def consume(self, function: Callable[[DataFrame], Any]) -> Any:
+        """Hand the changes to ``function`` and commit once that has returned."""
+        return consumed(function, self.changes(), self.commit)
+
     def __enter__(self) -> IncrementalRun:
         self.low, self.high  # noqa: B018  fixes the bounds before anything is read
         return self

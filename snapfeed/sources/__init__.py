@@ -3,7 +3,7 @@
 from .checkpoints import CheckpointLog, current_checkpoints, last_snapshot, last_snapshot_row
 from .datasets import dataset_predicate
 from .files import open_changed_files
-from .index import flatten_index, nest_index, read_index, write_index
+from .index import flatten_index, nest_index, read_index, recorded_high, write_index
 
 __all__ = [
     "CheckpointLog",
@@ -15,5 +15,6 @@ __all__ = [
     "nest_index",
     "open_changed_files",
     "read_index",
+    "recorded_high",
     "write_index",
 ]

@@ -7,7 +7,10 @@ checkpoint back nor overwrite another key.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +51,10 @@ class CheckpointLog:
     """Checkpoint log in a folder all executors can reach.
 
     Each commit is written to a folder of its own, so that writers running at
-    the same time never share a job's staging folder.
+    the same time never share a job's staging folder. The commits of a key lie
+    together below a folder named by its hash, so that a lookup lists and reads
+    what belongs to the key, and commits that lie directly in the log: those of
+    :meth:`compact_to`, and of logs written before keys had folders.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
@@ -57,24 +63,38 @@ class CheckpointLog:
 
     def read(self) -> DataFrame:
         """All commits; no rows when nothing was ever committed."""
+        return self._stored(self.path) or self._nothing()
+
+    def _stored(self, path: str) -> DataFrame | None:
         try:
             return (
                 self.spark.read.schema(CHECKPOINT_SCHEMA)
                 .option("recursiveFileLookup", "true")
-                .parquet(self.path)
+                .parquet(path)
             )
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.range(0).select(
-                *(F.lit(None).cast(f.dataType).alias(f.name) for f in CHECKPOINT_SCHEMA.fields)
-            )
+            return None
+
+    def _nothing(self) -> DataFrame:
+        return self.spark.range(0).select(
+            *(F.lit(None).cast(f.dataType).alias(f.name) for f in CHECKPOINT_SCHEMA.fields)
+        )
+
+    def _folder(self, app: str, kind: str, scope: str, version: int) -> str:
+        key = json.dumps([app, kind, scope, version])
+        return f"{self.path}/key={hashlib.sha256(key.encode()).hexdigest()[:32]}"
 
     def current(self) -> DataFrame:
         return current_checkpoints(self.read())
 
     def last_snapshot(self, app: str, kind: str, scope: str, version: int) -> int:
-        return last_snapshot(self.read(), app, kind, scope, version)
+        paths = (self._folder(app, kind, scope, version), f"{self.path}/{{commit=*,*.parquet}}")
+        found = [rows for rows in map(self._stored, paths) if rows is not None]
+        if not found:
+            return NO_SNAPSHOT
+        return last_snapshot(reduce(DataFrame.unionAll, found), app, kind, scope, version)
 
     def commit(self, app: str, kind: str, scope: str, version: int, snapshot: int) -> bool:
         """Append one row unless the key is already that far; tells if it wrote."""
@@ -87,7 +107,7 @@ class CheckpointLog:
                 for value, field in zip(values, CHECKPOINT_SCHEMA.fields, strict=True)
             )
         )
-        row.write.parquet(f"{self.path}/commit={uuid.uuid4().hex}")
+        row.write.parquet(f"{self._folder(app, kind, scope, version)}/commit={uuid.uuid4().hex}")
         return True
 
     def compact_to(self, path: str) -> CheckpointLog:

@@ -12,6 +12,11 @@ _COMMENT = re.compile(r"--[^\n]*|/\*.*?\*/", re.S)
 _SUBQUERY = re.compile(
     r"\(\s*(?:select|with|from|table|values|(?:map|reduce)\b(?!\s*\())\b", re.I
 )
+_UNSTEADY = re.compile(
+    r"\b(?:rand|randn|random|randstr|uniform|uuid|shuffle|monotonically_increasing_id"
+    r"|spark_partition_id|now|curdate|localtimestamp|current_\w+)\b\s*\(",
+    re.I,
+)
 _JVM_CALL = re.compile(r"\b(?:java_method|reflect|try_reflect)\s*\(", re.I)
 
 
@@ -36,10 +41,16 @@ def dataset_predicate(definitions: DataFrame, name: str) -> str:
 
 
 def check_predicate(predicate: str | None) -> str:
-    """Let through column conditions only: no subqueries and no calls into the JVM."""
+    """Let through column conditions only.
+
+    Subqueries and calls into the JVM are refused, and so are functions that give
+    another value each time: a run would pass over what they leave out.
+    """
     if not predicate or not predicate.strip():
         raise ValueError("empty dataset predicate")
     bare = _COMMENT.sub(" ", _QUOTED.sub("''", predicate))
     if _SUBQUERY.search(bare) or _JVM_CALL.search(bare):
         raise ValueError(f"dataset predicate must be a plain column condition: {predicate}")
+    if _UNSTEADY.search(bare):
+        raise ValueError(f"dataset predicate must not change from row to row: {predicate}")
     return predicate

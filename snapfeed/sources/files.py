@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+import codecs
+import errno
+import math
 import re
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 MISSING = "missing"
 UNREADABLE = "unreadable"
-TOO_LARGE = "too large"
 
-# A file is one value of one row, and a row cannot hold more than 2 GiB.
-MAX_FILE_BYTES = 1 << 30
+# A larger file is read as consecutive pieces of about this size, a row each.
+PIECE_BYTES = 1 << 27
+# Files that one task opens unless the caller says how to spread the feed.
+FILES_PER_TASK = 1000
+# Seconds to wait before the storage is asked again; after the last the task fails.
+RETRY_DELAYS = (0.5, 2.0, 8.0, 30.0)
+
+# What lies with the file itself, so that asking again would not help.
+_OF_THE_FILE = {errno.EACCES, errno.EPERM, errno.EISDIR, errno.ENOTDIR, errno.ENAMETOOLONG, errno.ELOOP}
 
 
 def file_uri(root: str) -> str:
@@ -21,28 +32,55 @@ def file_uri(root: str) -> str:
     return re.sub("^file:/(?!/)", "file:///", root)
 
 
+def retried(action: Callable[[], Any], hopeless: Callable[[OSError], bool]) -> Any:
+    """``action``, again after a growing delay while the storage fails."""
+    for delay in (*RETRY_DELAYS, None):
+        try:
+            return action()
+        except OSError as error:
+            if delay is None or hopeless(error):
+                raise
+            time.sleep(delay)
+
+
+def _border(text: str) -> int:
+    """Where to cut a piece: after its last line, else its last word, else at its end."""
+    return text.rfind("\n") + 1 or text.rfind(" ") + 1 or len(text)
+
+
 def open_changed_files(
     feed: DataFrame,
     root: str = "",
     partitions: int | None = None,
     batch_bytes: int = 1 << 25,
-    max_file_bytes: int = MAX_FILE_BYTES,
+    piece_bytes: int = PIECE_BYTES,
+    encoding: str = "utf-8",
 ) -> DataFrame:
-    """Read each file of a feed as UTF-8 text, in the executors.
+    """Read each file of a feed as text, in the executors.
 
     Adds ``content`` and ``error`` to every row of the feed; one of the two is
-    null. ``error`` is ``missing``, ``unreadable`` or ``too large``; no file
-    fails the job. Index paths are looked up below ``root``: a folder mounted on
-    the executors, or a URI such as ``s3://bucket/prefix`` or ``hdfs://name/``.
+    null. ``error`` is ``missing`` or ``unreadable`` (not text of the encoding, a
+    folder, forbidden); no such file fails the job. Trouble of the storage is
+    another matter: the file is tried again and then fails its task, as a run
+    must not pass over files that are fine. A byte-order mark is no part of the
+    text. Index paths are looked up below ``root``: a folder mounted on the
+    executors, or a URI such as ``s3://bucket/prefix`` or ``hdfs://name/``.
+
+    A file larger than ``piece_bytes`` becomes one row per piece, cut after a line
+    where there is one. ``piece_no`` numbers the pieces, ``first_line`` counts the
+    lines before a piece, and ``more`` tells that another piece or an error
+    follows. A file that turns out unreadable later on keeps the pieces before.
 
     The work follows the feed and not the tree: nothing is listed and nothing is
     joined. Spark's own file sources would list the whole tree on the driver and
     pass over empty files. A part of the index names far more bytes than it
-    holds, hence ``partitions`` to spread the feed before reading. Output
-    batches are cut by size, so large files do not pile up in a worker.
+    holds, so the feed is spread before reading, by its number of files unless
+    ``partitions`` is given. Output batches are cut by size, so large files do not
+    pile up in a worker.
     """
     names = feed.columns
     uri = file_uri(root)
+    codec = "utf-8-sig" if codecs.lookup(encoding).name == "utf-8" else encoding
 
     def read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -50,33 +88,64 @@ def open_changed_files(
         store, base = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
         base = base.rstrip("/")
 
-        def read(path):
+        def part(path: str, offset: int) -> tuple[bytes, bool]:
+            with store.open_input_file(base + path) as file:
+                data = file.read_at(piece_bytes, offset)
+                return data, offset + len(data) < file.size()
+
+        def of_the_file(path: str) -> Callable[[OSError], bool]:
+            def hopeless(error: OSError) -> bool:
+                if isinstance(error, FileNotFoundError) or error.errno in _OF_THE_FILE:
+                    return True
+                return store.get_file_info(base + path).type == fs.FileType.Directory
+
+            return hopeless
+
+        def pieces(path: str) -> Iterator[tuple]:
+            decoder = codecs.getincrementaldecoder(codec)()
+            held, offset, number, lines, more = "", 0, 0, 0, True
             try:
-                with store.open_input_file(base + path) as file:
-                    if file.size() > max_file_bytes:
-                        return None, TOO_LARGE, 0
-                    content = file.read()
-                return content.decode("utf-8"), None, len(content)
+                while more:
+                    data, more = retried(lambda at=offset: part(path, at), of_the_file(path))
+                    offset += len(data)
+                    held += decoder.decode(data, final=not more)
+                    cut = _border(held) if more else len(held)
+                    if more and not cut:
+                        continue
+                    yield number, lines, more, held[:cut], None
+                    number, lines, held = number + 1, lines + held.count("\n", 0, cut), held[cut:]
             except FileNotFoundError:
-                return None, MISSING, 0
-            except (OSError, ValueError, TypeError):
-                return None, UNREADABLE, 0
+                yield number, lines, False, None, MISSING
+            except (ValueError, TypeError):
+                yield number, lines, False, None, UNREADABLE
+            except OSError as error:
+                if not of_the_file(path)(error):
+                    raise
+                yield number, lines, False, None, UNREADABLE
+
+        def filled(batch: pd.DataFrame, rows: list[int], found: list[tuple]) -> pd.DataFrame:
+            added = dict(zip(PIECE_COLUMNS, zip(*found, strict=True), strict=True))
+            return batch.iloc[rows].assign(**{name: list(values) for name, values in added.items()})
 
         for batch in batches:
-            start, contents, errors, held = 0, [], [], 0
-            for path in batch["path"]:
-                content, error, size = read(path)
-                contents.append(content)
-                errors.append(error)
-                held += size
-                if held >= batch_bytes:
-                    end = start + len(contents)
-                    yield batch.iloc[start:end].assign(content=contents, error=errors)
-                    start, contents, errors, held = end, [], [], 0
-            if contents:
-                yield batch.iloc[start:].assign(content=contents, error=errors)
-
-    spread = feed.repartition(partitions) if partitions else feed
+            rows, found, held = [], [], 0
+            for row, path in enumerate(batch["path"]):
+                for piece in pieces(path):
+                    rows.append(row)
+                    found.append(piece)
+                    held += len(piece[3] or "")
+                    if held >= batch_bytes:
+                        yield filled(batch, rows, found)
+                        rows, found, held = [], [], 0
+            if rows:
+                yield filled(batch, rows, found)
+
+    if partitions is None:
+        partitions = math.ceil(feed.count() / FILES_PER_TASK)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in feed.schema.fields)
-    opened = spread.mapInPandas(read_batches, f"{fields}, content string, error string")
-    return opened.select(*names, "content", "error")
+    added = "piece_no int, first_line bigint, more boolean, content string, error string"
+    opened = feed.repartition(max(1, partitions)).mapInPandas(read_batches, f"{fields}, {added}")
+    return opened.select(*names, *PIECE_COLUMNS)
+
+
+PIECE_COLUMNS = ("piece_no", "first_line", "more", "content", "error")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,9 @@ from ..balance import range_sorted
 from ..functions.changes import change_list
 from ..schema import INDEX_SCHEMA, NESTED_INDEX_SCHEMA
 
+# Folder beside the entries; readers pass over names that begin with an underscore.
+_HIGH = "_high"
+
 
 def read_index(
     spark: SparkSession, path: str | list[str], format: str = "parquet", nested: bool = True
@@ -57,5 +63,38 @@ def write_index(
     at the high end. ``path`` in the key also splits a snapshot that alone holds
     most of the rows, as the first load of a file system does. Appending each
     new snapshot this way (``mode="append"``) keeps the layout.
+
+    Once the entries are there, their highest snapshot is recorded beside them,
+    for :func:`recorded_high`.
     """
+    spark = index.sparkSession
     range_sorted(index, ["s2", "path"], partitions).write.mode(mode).parquet(path)
+    if mode == "ignore":  # nothing may have been written
+        return
+    new = index
+    if mode == "append" and recorded_high(spark, path) is None:
+        new = spark.read.schema(INDEX_SCHEMA).parquet(path)
+    high = new.agg(F.coalesce(F.max("s2"), F.lit(-1).cast("bigint")).alias("snapshot")).first()
+    row = spark.range(0, 1, 1, 1).select(F.lit(high["snapshot"]).cast("bigint").alias("snapshot"))
+    row.write.parquet(f"{path.rstrip('/')}/{_HIGH}/write={uuid.uuid4().hex}")
+
+
+def recorded_high(spark: SparkSession, path: str) -> int | None:
+    """Highest snapshot that :func:`write_index` has recorded, ``None`` without a record.
+
+    One number per write is read and nothing of the index. Ask before
+    :func:`read_index`, which lists the files: what is appended in between is
+    then left to the next run, and not passed over by this one. An index that
+    others append to by other means has no use for the record.
+    """
+    try:
+        rows = (
+            spark.read.schema("snapshot bigint")
+            .option("recursiveFileLookup", "true")
+            .parquet(f"{path.rstrip('/')}/{_HIGH}")
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows.agg(F.max("snapshot").alias("snapshot")).first()["snapshot"]

@@ -75,3 +75,25 @@ def test_a_broken_log_is_an_error(spark, tmp_path):
     (tmp_path / "log" / "part.parquet").write_text("no parquet")
     with pytest.raises(Exception, match="(?i)parquet"):
         sf.CheckpointLog(spark, str(tmp_path / "log")).last_snapshot(*KEY)
+
+
+def test_a_lookup_reads_the_files_of_its_key(spark, tmp_path):
+    log = sf.CheckpointLog(spark, str(tmp_path / "log"))
+    for scope in ("/a", "/b", "/c"):
+        assert log.commit("app", "folder_paths", scope, 1, 5)
+    assert len(list((tmp_path / "log").glob("key=*"))) == 3
+    assert log.last_snapshot("app", "folder_paths", "/b", 1) == 5
+    for file in (tmp_path / "log").glob("key=*/*/*.parquet"):
+        if log._folder("app", "folder_paths", "/b", 1) not in str(file):
+            file.write_bytes(b"never opened")
+    assert log.last_snapshot("app", "folder_paths", "/b", 1) == 5
+    assert log.last_snapshot("app", "folder_paths", "/d", 1) == -1
+
+
+def test_commits_of_an_older_log_count(spark, tmp_path):
+    log = sf.CheckpointLog(spark, str(tmp_path / "log"))
+    old = spark.createDataFrame([("app", "folder_paths", "/a", 1, 7)], log.read().schema)
+    old.write.parquet(str(tmp_path / "log" / "commit=0"))
+    assert log.last_snapshot("app", "folder_paths", "/a", 1) == 7
+    assert not log.commit("app", "folder_paths", "/a", 1, 6)
+    assert log.commit("app", "folder_paths", "/a", 1, 8) and log.current().first().snapshot == 8

@@ -3,6 +3,7 @@ from pathlib import Path
 import pytest
 
 import snapfeed as sf
+from snapfeed.sources.files import RETRY_DELAYS, retried
 
 FEED = "path string, snapshot bigint, change_types array<string>"
 
@@ -112,7 +113,7 @@ def test_files_opened_by_the_feed(spark, feed, tree, batch_bytes, scheme):
         )
     ).coalesce(1)
     root = Path(tree).as_uri() if scheme else tree
-    opened = sf.open_changed_files(more, root, batch_bytes=batch_bytes, max_file_bytes=20)
+    opened = sf.open_changed_files(more, root, batch_bytes=batch_bytes)
     assert sorted((r.path, r.snapshot, r.content, r.error) for r in opened.collect()) == [
         ("/ifs/a", 1, "one\r\ntwo é", None),
         ("/ifs/a", 5, "one\r\ntwo é", None),
@@ -120,10 +121,66 @@ def test_files_opened_by_the_feed(spark, feed, tree, batch_bytes, scheme):
         ("/ifs/b", 2, "", None),
         ("/ifs/bad", 3, None, "unreadable"),
         ("/ifs/gone", 3, None, "missing"),
-        ("/ifs/long.gz", 4, None, "too large"),
+        ("/ifs/long.gz", 4, "x" * 21, None),
         ("/ifs/sub", 4, None, "unreadable"),
     ]
-    assert sf.document_rows(opened).count() == 4
+    assert sf.document_rows(opened).count() == 5
+
+
+LINES = "".join(f"line {n} é日\n" * (n % 3) + "\n" * (n % 2) for n in range(60)) + "end"
+
+
+@pytest.mark.parametrize("piece_bytes", [1, 7, 64, 10_000])
+def test_files_in_pieces(spark, tmp_path, piece_bytes):
+    (tmp_path / "lines").write_bytes(b"\xef\xbb\xbf" + LINES.encode())
+    (tmp_path / "late").write_bytes(b"good\n" * 30 + b"\xff")
+    feed = spark.createDataFrame([("/lines", 1, []), ("/late", 1, [])], FEED)
+    opened = sf.open_changed_files(feed, str(tmp_path), piece_bytes=piece_bytes).collect()
+    pieces = sorted((r.piece_no, r.first_line, r.content, r.more) for r in opened if r.path == "/lines")
+    assert "".join(piece[2] for piece in pieces) == LINES
+    assert [piece[0] for piece in pieces] == list(range(len(pieces)))
+    assert [piece[3] for piece in pieces] == [True] * (len(pieces) - 1) + [False]
+    assert (len(pieces) == 1) == (piece_bytes == 10_000)
+    opened = spark.createDataFrame(opened, "path string, snapshot bigint, change_types array<string>, "
+                                   "piece_no int, first_line bigint, more boolean, content string, error string")
+    found = {(r.path, r.error) for r in sf.outcome_rows(opened).collect()}
+    assert sf.outcome_rows(opened).count() == 2 and found == {("/lines", None), ("/late", "unreadable")}
+    if piece_bytes >= 64:
+        elements = sf.split_elements(sf.document_rows(opened.where("path = '/lines'"))).collect()
+        assert sorted((r.metadata.element_no, r.page_content) for r in elements) == [
+            (n, line) for n, line in enumerate(LINES.split("\n")) if line
+        ]
+
+
+def test_each_file_is_opened_once(spark, tmp_path, make_index):
+    (tmp_path / "ifs").mkdir()
+    (tmp_path / "ifs" / "once").write_text("text")
+    index = make_index([(1, "/ifs/once", "regular", 1, ["ENTRY_ADDED"])])
+    log = sf.CheckpointLog(spark, str(tmp_path / "log"))
+    loader = sf.ContentLoader(index, log, "/ifs", root=str(tmp_path))
+    with pytest.raises(ValueError):
+        loader.commit()
+    documents = loader.load()
+    (tmp_path / "ifs" / "once").write_bytes(b"\xff")
+    assert [r.page_content for r in documents.collect()] == ["text"]
+    assert [r.ok for r in loader.outcomes().collect()] == [True]
+    assert loader.commit()
+
+
+def test_a_failing_store_commits_nothing(spark, tmp_path, monkeypatch):
+    waits = []
+    monkeypatch.setattr("time.sleep", waits.append)
+
+    def fail():
+        raise OSError("throttled")
+
+    with pytest.raises(OSError, match="throttled"):
+        retried(fail, lambda error: False)
+    assert waits == sorted(waits) and len(waits) == len(RETRY_DELAYS)
+    waits.clear()
+    with pytest.raises(OSError):
+        retried(fail, lambda error: True)
+    assert waits == []
 
 
 def test_loader_opens_files_without_a_content_table(spark, make_index, tree, tmp_path):
@@ -164,6 +221,20 @@ def test_a_function_of_the_user_per_file(feed):
     assert sf.run_summary(found).first().errors == 2
 
 
+def test_the_function_is_called_once_per_file(feed, tmp_path):
+    calls = tmp_path / "calls"
+
+    def process(path):
+        with open(calls, "a") as file:
+            file.write(path + "\n")
+        return path != "/ifs/gone"
+
+    found = sf.process_files(feed, process, partitions=2)
+    assert sf.run_summary(found).first().errors == 1
+    assert found.where("not ok").count() == 1
+    assert len(calls.read_text().splitlines()) == feed.count()
+
+
 def test_outcomes_read_paths_and_nulls_only(spark, feed, content, tmp_path, plan_of):
     content.write.parquet(str(tmp_path / "content"))
     plan = plan_of(sf.outcomes(feed, spark.read.parquet(str(tmp_path / "content"))))

@@ -3,6 +3,7 @@ import random
 import pytest
 
 import snapfeed as sf
+from snapfeed.operators.paging import _front
 from snapfeed.schema import INDEX_SCHEMA
 
 
@@ -70,3 +71,23 @@ def test_pages_over_null_keys(make_index):
         assert len(seen) == len(rows)
         rank = [(lin is not None, lin or 0, path is not None, path or "") for lin, path in seen]
         assert rank == sorted(rank)
+
+
+def test_the_front_of_a_large_index(spark):
+    """A page of many rows is taken from few more rows than it has."""
+    entries = spark.range(200_000).selectExpr(
+        "case when id % 1000 = 0 then null else (id * 7919) % 200000 end as lin",
+        "concat('/', id % 5) as path", "'regular' as file_type", "1L as s2", "array('a') as change_types",
+    )
+    front = _front(entries, 250)
+    assert 250 <= front.count() <= 16 * 250
+    first = [(r.lin is not None, r.lin or 0) for r in sf.page_after(entries, None, 250).collect()]
+    assert first == sorted(first) and len(first) >= 250
+    page = sf.page_after(entries, (50_000, "/4"), 250).collect()
+    expected = entries.where("lin > 50000 or (lin = 50000 and path > '/4')").orderBy("lin", "path").limit(250)
+    assert [(r.lin, r.path) for r in page] == [(r.lin, r.path) for r in expected.collect()]
+
+
+def test_one_number_in_nearly_all_entries(spark):
+    entries = spark.range(5000).selectExpr("3L as lin", "concat('/', id) as path", "1L as s2")
+    assert sf.page_after(entries, None, 20).count() == 20

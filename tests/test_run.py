@@ -186,3 +186,40 @@ def test_random_histories(stored, log, seed):
             committed = max([committed, 0] + [row[3] for row in rows])
             assert {r[0] for r in in_scope} <= delivered
         assert log.last_snapshot("snapfeed", "folder_paths", "/ifs/a", 1) == committed
+
+
+def test_commit_follows_the_consuming_function(stored, log):
+    stored.add(entry(1, 1), entry(2, 0))
+    run = sf.IncrementalRun(stored.read(), log, SCOPE)
+    with pytest.raises(ValueError, match="within the function"):
+        run.consume(lambda feed: feed)
+    with pytest.raises(ZeroDivisionError):
+        run.consume(lambda feed: 1 / 0)
+    assert log.read().count() == 0
+    assert run.consume(lambda feed: feed.count()) == 2
+    assert log.last_snapshot("snapfeed", "folder_paths", "/ifs/a", 1) == 1
+    assert lins(run.all_files()) == [1]
+
+
+def test_bounds_from_the_record_of_the_writer(spark, log, tmp_path, make_index):
+    path = str(tmp_path / "written")
+    assert sf.recorded_high(spark, path) is None
+    for first in (0, 4):
+        rows = [entry(n, n) for n in range(first, first + 4)]
+        sf.write_index(make_index(rows), path, mode="append")
+        high = sf.recorded_high(spark, path)
+        assert high == first + 3
+        index = sf.read_index(spark, path, nested=False)
+        run = sf.IncrementalRun(index, log, SCOPE, high=high)
+        assert lins(run.changes()) == list(range(first, first + 4))
+        assert run.commit()
+    assert index.count() == 8
+    sf.write_index(make_index([entry(1, 2)]), path, mode="overwrite")
+    assert sf.recorded_high(spark, path) == 2
+
+
+def test_a_record_begun_on_an_older_index(spark, tmp_path, make_index):
+    path = str(tmp_path / "older")
+    make_index([entry(1, 9)]).write.parquet(path)
+    sf.write_index(make_index([entry(2, 3)]), path, mode="append")
+    assert sf.recorded_high(spark, path) == 9

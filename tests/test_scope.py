@@ -106,6 +106,13 @@ def test_predicates_that_only_look_like_queries(predicate):
     assert check_predicate(predicate) == predicate
 
 
+@pytest.mark.parametrize("predicate", ["rand() < 0.5", "s2 > 1 AND uuid () > 'a'", "path < string(now())"])
+def test_predicates_that_change_from_row_to_row(predicate):
+    with pytest.raises(ValueError, match="must not change"):
+        check_predicate(predicate)
+    assert check_predicate("path like '%rand()%' and random_id > 1")
+
+
 def test_dataset_is_joined_to_the_other_conditions_as_a_whole(make_index):
     index = make_index(
         [

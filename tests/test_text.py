@@ -1,12 +1,14 @@
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 import snapfeed as sf
 from snapfeed.functions import element_category, page_text
+from snapfeed.functions.text import PAGE_ENTITIES
 
 
 def brute_chunks(text, size, overlap, max_chars):
@@ -112,3 +114,34 @@ def test_page_text(spark, html, text):
 def test_extracted_pages_keep_their_other_columns(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x</p>")], "page_id long, url string, html string")
     assert sf.extract_page_text(pages).first().asDict() == {"page_id": 1, "url": "u", "text": "x"}
+
+
+def brute_page_text(html):
+    for pattern in ("<script[^>]*>.*?</script>", "<style[^>]*>.*?</style>", "<!--.*?-->", "<[^>]*>"):
+        html = re.sub(pattern, " ", html, flags=re.S)
+    for reference, character in PAGE_ENTITIES:
+        html = html.replace(reference, character)
+    return re.sub("[ \t\n\r]+", " ", html).strip(" ")
+
+
+def test_page_text_of_broken_pages(spark):
+    draw = random.Random(11)
+    parts = ["<script", "<script>", "</script>", "<style", ">", "</style>", "<!--", "-->", "-", "<!",
+             "<p>", "a", "é", " ", "\n", "<", "&lt;", "$1", "\\"]
+    pages = ["".join(draw.choice(parts) for _ in range(draw.randrange(14))) for _ in range(5000)]
+    df = spark.createDataFrame(list(enumerate(pages)), "id int, html string")
+    found = df.select("id", page_text(F.col("html"))).collect()
+    assert all(text == brute_page_text(pages[number]) for number, text in found)
+
+
+@pytest.mark.parametrize("unit", ["<script>aa", "<script", "<!--aa", "<style a", "<"])
+def test_page_text_takes_linear_time(spark, unit):
+    def seconds(characters):
+        page = unit * (characters // len(unit)) + "</script>"
+        df = spark.createDataFrame([(page,)], "html string").select(F.length(page_text(F.col("html"))))
+        df.first()
+        start = time.perf_counter()
+        df.first()
+        return time.perf_counter() - start
+
+    assert seconds(1_600_000) < 8 * seconds(200_000) * 2 + 1
