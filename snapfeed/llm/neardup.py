@@ -24,9 +24,9 @@ ROWS = 6
 PARTNERS = 512
 
 #: Bits of a sketch, of which each is that of a minimum or maximum under another
-#: permutation. Sets that share 75 of 100 differ in 128 of them on average, with a
-#: deviation of 10.6; what differs in more than five deviations beyond that is not compared.
-SKETCH, APART = 1024, 181
+#: permutation. Sets that share 75 of 100 differ in 256 of them on average, with a
+#: deviation of 15; what differs in more than five deviations beyond that is not compared.
+SKETCH, APART = 2048, 331
 
 _draw = np.random.default_rng(404)
 _A = _draw.integers(0, 1 << 31, max(PERMUTATIONS, SKETCH // 2), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -243,13 +243,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         mixed = placed.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
         apart = cut(placed.join(mixed.select("band"), "band"), "neardup-mixed")
         drawn = cut(sketches(texts.join(apart.select("rep").distinct(), "rep", "left_semi")), "neardup-sketches")
-        apart = apart.join(drawn, "rep")
+        # a pair that meets in several buckets is made in the first of them; classes
+        # of one id and size count as one here, as they do in the join with sketches
+        of_rep = apart.groupBy("rep", "n").agg(F.collect_set("band").alias("own"))
+        # columns that cannot be null keep the join's condition short enough to be compiled
+        drawn = drawn.select("rep", *(F.coalesce(s, F.lit(0)).alias(s) for s in _PARTS))
+        apart = apart.join(of_rep, ["rep", "n"]).join(drawn, "rep")
         x = apart.withColumnRenamed("rep", "a").withColumnRenamed("comp", "comp_a")
         y = apart.select(
-            "band", F.col("rep").alias("b"), F.col("n").alias("other"), F.col("comp").alias("comp_b"), *(F.col(s).alias(f"o{s}") for s in _PARTS)
+            "band", F.col("rep").alias("b"), F.col("n").alias("other"), F.col("comp").alias("comp_b"), F.col("own").alias("own_b"), *(F.col(s).alias(f"o{s}") for s in _PARTS)
         )
         differ = " + ".join(f"bit_count({s} ^ o{s})" for s in _PARTS)
-        on = F.expr(f"x.band = y.band and a < b and comp_a <> comp_b and {fits} and {differ} <= {APART}")
+        once = "array_min(array_intersect(own, own_b)) = x.band"
+        on = F.expr(f"x.band = y.band and a < b and comp_a <> comp_b and {fits} and {differ} <= {APART} and {once}")
         across = x.alias("x").join(y.alias("y"), on).select("a", "b").distinct()
         across = cut(across.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "neardup-across")
         links = cut(links.unionAll(confirmed(across, texts)), "neardup-links")
