@@ -82,6 +82,21 @@ def similarity(x: str, y: str) -> Column:
     return F.expr(f"100.0D * {both} / (size({x}) + size({y}) - {both})")
 
 
+def _starts() -> Column:
+    """Starts of all windows that hold enough of the shared places ``at`` (sorted), each once.
+
+    A window of ``length`` (or of all ``n`` words) has ``own`` shingles, and needs
+    ``need`` of them. It holds the ``need`` places from some one on, and is listed
+    with the first of these that it holds.
+    """
+    own = "(least(length, n) - width + 1)"
+    need = f"cast(ceil({SIMILAR} * ({own} + length - width + 1) / {100 + SIMILAR}D) as int)"
+    first = f"greatest(0, at[i + {need} - 1] - {own} + 1, if(i > 0, at[i - 1] + 1, 0))"
+    last = "least(p, greatest(0, n - length))"
+    ranges = f"transform(slice(at, 1, greatest(0, size(at) - {need} + 1)), (p, i) -> if({first} <= {last}, sequence({first}, {last}), array()))"
+    return F.expr(f"flatten({ranges})")
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     words = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where("size(words) > 0")
     sized = words.select("*", F.size("words").alias("length"), F.least(F.size("words"), F.lit(SHINGLE)).alias("width"))
@@ -96,12 +111,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     by how often they occur, share ``SIMILAR`` percent. Items of fewer words are
     one shingle of their own length.
 
-    A matching window shares a shingle with its item; so the windows looked at are
-    those that put a shared shingle in its place in some item, which the shingles
-    of all documents find by an equi-join. Every window gets a SimHash; windows and
-    items of one length meet where one of ``RADIUS + 1`` blocks of their
-    fingerprints agrees, which holds for all within the radius; what is left is
-    confirmed on the shingles themselves.
+    An equi-join finds where the shingles of documents are those of items of some
+    length. A matching window holds so many of these places that ``SIMILAR`` percent
+    can be reached, in whatever order; every window of the length that does gets a
+    SimHash. Windows and items of one length meet where one of ``RADIUS + 1`` blocks
+    of their fingerprints agrees, which holds for all within the radius; what is
+    left is confirmed on the shingles themselves.
 
     Null and empty texts and items match nothing; null ids are carried along;
     repeated rows are found each; empty tables give an empty one.
@@ -112,25 +127,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = []
     for width in widths:
         own = items.where(F.col("width") == width).select("length", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-        seeds = own.select("length", F.posexplode(_runs("h", width)).alias("at", "shingle")).distinct()
+        seeds = own.select("length", F.explode(_runs("h", width)).alias("shingle")).distinct()
         seeds, n = cut_counted(seeds, "item-shingles")
         runs = _hashed(docs, "doc_id", "key").select(
             "doc_id", "key", F.size("hashes").alias("n"), F.posexplode(_runs("hashes", width)).alias("pos", "shingle")
         )
         found = runs.join(F.broadcast(seeds) if n <= BROADCAST_ROWS else seeds, "shingle")
-        start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("n") - F.col("length")))
-        hits.append(found.select("doc_id", "key", F.lit(width).alias("width"), "length", start.alias("start")).distinct())
+        hits.append(found.select("doc_id", "key", F.lit(width).alias("width"), "length", "n", "pos"))
     if not hits:
         return docs.select("doc_id", "key", F.lit(None).cast("long").alias("item_id"), F.lit(0).alias("start"), F.lit(0.0).alias("similarity")).limit(0)
-    # as many windows as shared shingles of the document itself
-    places = reduce(DataFrame.unionAll, hits).groupBy("doc_id", "key").agg(F.collect_set(F.struct("width", "length", "start")).alias("places"))
-    places, n = cut_counted(places, "windows")
+    # at most as many windows of a length as the document has words
+    at = reduce(DataFrame.unionAll, hits).groupBy("doc_id", "key", "width", "length", "n").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    starts = at.withColumn("starts", _starts()).where("size(starts) > 0").select("doc_id", "key", F.struct("width", "length", "starts").alias("place"))
+    places, n = cut_counted(starts.groupBy("doc_id", "key").agg(F.collect_list("place").alias("places")), "windows")
     texts = only_rows_of(docs, places.select("key"), ["key"], n).dropDuplicates(["doc_id", "key"])
     places = F.broadcast(places) if n <= BROADCAST_ROWS // 10 else places
     placed = texts.alias("t").join(places.alias("p"), F.expr("t.key = p.key and t.doc_id <=> p.doc_id"))
     windows = placed.select("t.doc_id", "t.key", words_of(F.col("text")).alias("all"), "places")
     windows = windows.select("doc_id", "key", "all", F.explode("places").alias("place"))
-    windows = windows.select("doc_id", "key", "place.*", F.expr("slice(all, place.start + 1, place.length)").alias("words"))
+    windows = windows.select("doc_id", "key", "all", "place.width", "place.length", F.explode("place.starts").alias("start"))
+    windows = windows.select("doc_id", "key", "length", "width", "start", F.expr("slice(all, start + 1, length)").alias("words"))
     windows = windows.select("doc_id", "key", "length", "width", "start", _spelled("words", "width").alias("shingles"))
     windows = cut(
         windows.withColumn("print", fingerprint("shingles")).withColumn("window", F.monotonically_increasing_id()), "windows"

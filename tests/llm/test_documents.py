@@ -147,6 +147,35 @@ def test_decontamination(spark, docs, rows, empty):
     assert judge_contamination(docs, benchmark.limit(0)).where("not kept").count() == 0
 
 
+def test_decontamination_in_any_order(spark):
+    draw = random.Random(5)
+    item = words(draw, 40)
+    texts = {}
+    for turn in range(41):
+        texts[turn] = words(draw, 25) + item[turn:] + item[:turn] + words(draw, 25)
+    texts[50] = item[20:] + item[:20]
+    texts[51] = words(draw, 9) + item[30:] + item[10:30] + item[:10] + words(draw, 9)
+    texts[52] = words(draw, 9) + item[:4] + words(draw, 60) + item[3:36]
+    texts[53] = item[:20] * 6
+    texts[54] = item[2:38]
+
+    def grams(w):
+        return collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
+
+    def windows(w):
+        x, n = grams(item), 0
+        for s in range(max(1, len(w) - len(item) + 1)):
+            c = grams(w[s : s + len(item)])
+            n += 100 * (c & x).total() >= 75 * (c | x).total()
+        return n
+
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(words(draw, 40)))], "item_id long, text string")
+    got = {row.doc_id: row.n_windows for row in judge_contamination(docs, benchmark).collect()}
+    assert got == {i: windows(w) for i, w in texts.items()}
+    assert got[20] > 0 and got[50] > 0
+
+
 def test_repeats(docs, rows, empty):
     starts = collections.defaultdict(set)
     for i, text, *_ in rows:
