@@ -18,8 +18,10 @@ from .common import blocks, keyed
 
 #: Bytes of text whose distinct pre-tokens share a trie.
 TRIE_BYTES = 8 << 20
-#: Bytes of a pre-token that go into the trie together; longer ones are cut there.
+#: Depth of the trie; what a pre-token has beyond is scored by itself.
 LONGEST = 4096
+#: Bits for a number of tokens: more than a text has bytes.
+BITS = 31
 #: Rank shift of the Zipf-Mandelbrot law that gives a ranked vocabulary its probabilities.
 SHIFT = 1000.0
 
@@ -57,7 +59,7 @@ class Counter:
         # cost and number of tokens in one number, so that ties are settled by the number
         self.by_length: list[dict[bytes, int]] = [{} for _ in range(self.longest + 1)]
         for piece, cost in vocabulary.costs.items():
-            self.by_length[len(piece)][piece] = (cost << 24) + 1
+            self.by_length[len(piece)][piece] = (cost << BITS) + 1
         self.ends: dict[int, list[int]] = {}  # lengths of the pieces by their last byte
         for piece in vocabulary.costs:
             self.ends.setdefault(piece[-1], []).append(len(piece))
@@ -71,32 +73,46 @@ class Counter:
         In sorted order the pre-tokens are the leaves and inner ends of a trie
         walked depth first: what two neighbours have in common is the path that
         stays, with the forward scores of its nodes; only nodes below are scored.
+        Below ``LONGEST`` nothing is shared, and no more scores are held than the
+        longest piece reaches back.
         """
         order = sorted(range(len(distinct)), key=distinct.__getitem__)
         out = [0] * len(distinct)
         best = [0]  # by depth of the path
         before = b""
-        by_length, tails, triples, ends = self.by_length, self.tails, self.triples, self.ends
         for i in order:
             word = distinct[i]
-            shared, most = 0, min(len(word), len(before))
-            while shared < most and word[shared] == before[shared]:
+            top = word[:LONGEST]
+            shared, most = 0, min(len(top), len(before))
+            while shared < most and top[shared] == before[shared]:
                 shared += 1
             del best[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                score = best[end - 1] + by_length[1][word[end - 1 : end]]
-                if end > 1 and word[end - 2 : end] in tails:
-                    last = 2 if end > 2 and word[end - 3 : end] not in triples else min(end, self.longest)
-                    for n in ends[word[end - 1]]:
-                        if n > last:
-                            break
-                        if n > 1 and (cost := by_length[n].get(word[end - n : end])) is not None:
-                            score = min(score, best[end - n] + cost)
-                best.append(score)
-            before = word
-            out[i] = best[len(word)] & ((1 << 24) - 1)
+            self._score(word, shared, len(top), best)
+            before = top
+            last = best[len(top)]
+            if len(word) > LONGEST:
+                held = best[-self.longest :]
+                for depth in range(LONGEST, len(word), LONGEST):
+                    self._score(word, depth, min(depth + LONGEST, len(word)), held)
+                    del held[: -self.longest]
+                last = held[-1]
+            out[i] = last & ((1 << BITS) - 1)
         return out
 
+    def _score(self, word: bytes, depth: int, most: int, scores: list[int]) -> None:
+        """Appends the scores of ``word`` from below ``depth`` to ``most``; those up to ``depth`` are the last of ``scores``."""
+        by_length, tails, triples, ends = self.by_length, self.tails, self.triples, self.ends
+        for end in range(depth + 1, most + 1):
+            score = scores[-1] + by_length[1][word[end - 1 : end]]
+            if end > 1 and word[end - 2 : end] in tails:
+                last = 2 if end > 2 and word[end - 3 : end] not in triples else min(end, self.longest)
+                for n in ends[word[end - 1]]:
+                    if n > last:
+                        break
+                    if n > 1 and (cost := by_length[n].get(word[end - n : end])) is not None:
+                        score = min(score, scores[-n] + cost)
+            scores.append(score)
+
 
 _COUNTS = pa.schema([("doc_id", pa.int64()), ("n_pretokens", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())])
 
@@ -109,9 +125,9 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataF
     megabytes of text are put in one trie, scored once per shared prefix, and
     their counts stored and added up by document. Nothing is shuffled.
 
-    A null or empty text has no tokens; a pre-token over ``LONGEST`` bytes is cut
-    there; null ids and repeated rows are counted like others; an empty table
-    gives an empty one. Other columns are left out.
+    A null or empty text has no tokens; a pre-token of any length is scored whole;
+    null ids and repeated rows are counted like others; an empty table gives an
+    empty one. Other columns are left out.
     """
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary or ranked_vocabulary())
 
@@ -127,7 +143,7 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataF
                     uses.append(np.fromiter((number.setdefault(t, len(number)) for t in tokens), np.int64, len(tokens)))
                     sizes.append(len(tokens))
                     n_bytes.append(len(raw or b""))
-                known = _counted(counter, [t.encode() for t in number])
+                known = np.array(counter.counts([t.encode() for t in number]), np.int64)
                 totals = [int(known[used].sum()) for used in uses]
                 yield pa.RecordBatch.from_arrays(
                     [block.column("doc_id"), *(pa.array(x, pa.int64()) for x in (sizes, totals, n_bytes))], schema=_COUNTS
@@ -135,15 +151,3 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataF
 
     schema = "doc_id long, n_pretokens long, n_tokens long, n_bytes long"
     return keyed(docs).select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(work, schema)
-
-
-def _counted(counter: Counter, distinct: list[bytes]) -> np.ndarray:
-    """Counts of pre-tokens, those over ``LONGEST`` bytes by parts."""
-    parts = {part for word in distinct for part in _parts(word)}
-    listed = list(parts)
-    counts = dict(zip(listed, counter.counts(listed), strict=True))
-    return np.array([sum(counts[part] for part in _parts(word)) for word in distinct], np.int64)
-
-
-def _parts(word: bytes) -> Iterator[bytes]:
-    yield from (word[i : i + LONGEST] for i in range(0, len(word), LONGEST))

@@ -252,6 +252,26 @@ def test_tokens(docs, rows, empty):
     assert tokens.count_tokens(empty, vocabulary).count() == 0
 
 
+def test_tokens_of_long_pretokens(spark):
+    vocabulary = tokens.ranked_vocabulary()
+    draw = random.Random(3)
+    letters = "".join(draw.choice("etaoinshr") for _ in range(10_000))
+    long_words = ["ab" * 5000, letters, letters[:4096], letters[:9000] + "ing", "的" * 3000, "a" + "的是不" * 1500]
+
+    def count(word):
+        best = [(0, 0)]
+        for end in range(1, len(word) + 1):
+            pieces = [(n, vocabulary.costs.get(word[end - n : end])) for n in range(1, min(end, 130) + 1)]
+            best.append(min((best[end - n][0] + c, best[end - n][1] + 1) for n, c in pieces if c is not None))
+        return best[-1][1]
+
+    wanted = [count(w.encode()) for w in long_words]
+    docs = spark.createDataFrame(list(enumerate(long_words)), "doc_id long, text string")
+    got = sorted(tokens.count_tokens(docs, vocabulary).collect())
+    assert [row.n_pretokens for row in got] == [1] * len(long_words)
+    assert [row.n_tokens for row in got] == wanted
+
+
 SECRET_TEXTS = [
     "mail jo.doe7@mail.example.com or Jo.Doe7@mail.example.com now",
     "call +1 (523) 555-7040, card 4183418637171908, host 154.127.37.204.",
