@@ -51,4 +51,101 @@ judged as (
 select page_id, host, path, best.rule as rule, coalesce(best.action, 'allow') as verdict from judged
 """
 
-ORACLES = {"op5_chat": OP5, "op6_urls": OP6}
+OP11 = r"""
+with docs as (
+    select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+    from documents where text is not null
+),
+totals as (select count(*) as n_docs, sum(len(terms))::bigint as all_terms from docs where len(terms) > 0),
+found as (select doc_id, len(terms) as n, unnest(terms) as term from docs),
+postings as (select doc_id, n, term, count(*) as tf from found group by all),
+items as (
+    select distinct item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark
+),
+weights as (
+    select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint as w
+    from postings, totals group by term, n_docs
+),
+scored as (
+    select item_id, doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // all_terms))))::bigint as score
+    from items join postings using (term) join weights using (term), totals group by item_id, doc_id
+),
+ranked as (
+    select item_id, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank, doc_id, score
+    from scored where score > 0
+)
+select * from ranked where rank <= 50
+"""
+
+OP12 = r"""
+with recursive crc_table as (
+    select list(value order by byte) as crcs from (
+        select byte, list_reduce(list_prepend(byte, range(8)::bigint[]),
+                                 lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) as value
+        from range(256) as t(byte)
+    )
+),
+found as (
+    select doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) as run
+    from documents where text is not null
+),
+counted as (select doc_id, run, count(*) as n from found group by all),
+hashed as (
+    select run, n, length(run) as len,
+           xor(4294967295, list_reduce(
+               list_prepend(4294967295::bigint, list_transform(
+                   regexp_extract_all(hex(encode(doc_id || ':' || run)), '..'),
+                   lambda b: ('0x' || b)::bigint)),
+               lambda c, b: xor(crcs[(xor(c, b) & 255) + 1], c >> 8))) as h
+    from counted, crc_table
+),
+changed as (
+    select case when h % 97 = 0 then substr(run, 1, (h % len)::bigint) || substr(run, (h % len)::bigint + 2) else run end as word, n
+    from hashed
+),
+words as (select word, sum(n)::bigint as n from changed where length(word) >= 5 group by word having sum(n) >= 3),
+less as (select word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) as rest
+         from words, lateral unnest(range(1, length(word) + 1)) as t(k)),
+pairs as (
+    select a.word, b.word as near, b.n as near_n from less a join less b on a.k = b.k and a.rest = b.rest and a.word <> b.word
+    union select a.word, b.word, b.n from less a join words b on a.rest = b.word
+    union select b.word, a.word, a.n from less a join words b on a.rest = b.word
+),
+best as (select word, count(*) as n_near, min({'less': -near_n, 'near': near}) as best from pairs group by word),
+formed as (
+    select w.word, w.n, coalesce(n_near, 0) as n_near,
+           case when -best.less >= 2 * w.n then best.near end as form,
+           case when -best.less >= 2 * w.n then -best.less end as form_n
+    from words w left join best b on w.word = b.word
+),
+led as (
+    select word, form, word as root, form as next from formed
+    union all
+    select led.word, led.form, f.word, f.form from led join formed f on f.word = led.next
+)
+select f.word, f.form, l.root, f.n, f.n_near, f.form_n from formed f join led l on l.word = f.word and l.next is null
+"""
+
+OP13 = r"""
+with vectors as (
+    select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+    select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+    from vectors q join vectors c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+),
+ranked as (
+    select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+    from scored
+)
+select * from ranked where rank <= 20
+"""
+
+ORACLES = {"op5_chat": OP5, "op6_urls": OP6, "op11_search": OP11, "op12_spelling": OP12, "op13_topk": OP13}

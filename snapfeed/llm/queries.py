@@ -13,7 +13,10 @@ from .neardup import near_duplicates
 from .pii import replace_entities
 from .quality import judge_quality
 from .repeats import remove_repeats
+from .search import rank_documents
+from .spelling import group_spellings
 from .tokens import count_tokens
+from .topk import top_products
 from .urls import judge_urls, rules_table
 
 
@@ -65,6 +68,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(table(spark, sf_dir, "documents"))
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_quality": op2_quality,
@@ -76,4 +91,7 @@ QUERIES = {
     "op8_decontam": op8_decontam,
     "op9_repeats": op9_repeats,
     "op10_pii": op10_pii,
+    "op11_search": op11_search,
+    "op12_spelling": op12_spelling,
+    "op13_topk": op13_topk,
 }

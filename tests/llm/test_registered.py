@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no test tables")
 
 def test_registered():
     assert QUERIES.items() <= __spark_entry__.queries().items()
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert "pipeline" in __spark_entry__.queries()
 
 
