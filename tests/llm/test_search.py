@@ -181,19 +181,30 @@ def test_forms_lead_to_the_end(spark):
 
 
 def test_neighbourhoods_are_whole(monkeypatch):
-    monkeypatch.setattr(spelling, "PLACES", 3)
+    monkeypatch.setattr(spelling, "CELLS", 30)
     draw = np.random.default_rng(2)
     for _ in range(60):
         r, n = int(draw.integers(2, 6)), int(draw.integers(1, 9))
-        word = draw.integers(0, r, n)
-        edits = {tuple(word)}
-        for i in range(n + 1):
-            edits |= {(*word[:i], c, *word[i:]) for c in range(r)}
-            if i < n:
-                edits |= {(*word[:i], *word[i + 1 :])} | {(*word[:i], c, *word[i + 1 :]) for c in range(r)}
-        keys = np.concatenate(list(spelling.neighbour_keys(word, r)))
-        assert len(keys) == len(set(keys.tolist())) == len(edits)
-        assert set(keys.tolist()) == {int(spelling.own_key(np.array(x, np.int64))[0]) for x in edits}
+        words = draw.integers(0, r, (int(draw.integers(1, 5)), n))
+        found = [np.concatenate(x) for x in zip(*spelling.neighbour_keys(words, r), strict=True)]
+        for row, word in enumerate(words):
+            edits = {tuple(word)}
+            for i in range(n + 1):
+                edits |= {(*word[:i], c, *word[i:]) for c in range(r)}
+                if i < n:
+                    edits |= {(*word[:i], *word[i + 1 :])} | {(*word[:i], c, *word[i + 1 :]) for c in range(r)}
+            keys = found[1][found[0] == row].tolist()
+            assert len(keys) == len(set(keys)) == len(edits)
+            assert set(keys) == {int(spelling.own_key(np.array([x], np.int64))[0]) for x in edits}
+
+
+def test_filters_hold_their_keys(spark):
+    keys = spark.range(3000).selectExpr("xxhash64(id) as key")
+    known = spelling.filter_of(keys, 3000)
+    assert known.may_hold(np.array([row.key for row in keys.collect()])).all()
+    others = np.random.default_rng(1).integers(-(1 << 62), 1 << 62, 20_000)
+    assert known.may_hold(others).mean() < 0.01
+    assert spelling.filter_of(keys, spelling.FILTER_BYTES) is None
 
 
 def nearest(rows, top, asking):
