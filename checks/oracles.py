@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .views import DATASETS, sql_over
+from .views import DATASETS, STEADY, sql_over
 
 CHANGES = "array_to_string(coalesce(change_types, []), ',') as change_types"
 FLAT = f"lin, path, file_type, s2, {CHANGES}"
@@ -45,6 +45,8 @@ def last_of(number: int, app: str, kind: str, scope: str, version: int) -> str:
         where app = '{app}' and kind = '{kind}' and scope = '{scope}' and version = {version}"""
 
 
+DELETED_ONLY = "(list_contains(string_split(change_types, ','), 'ENTRY_DELETED') and not list_contains(string_split(change_types, ','), 'ENTRY_ADDED'))"
+
 DOCUMENTS = """
     select content as page_content, path as source, snapshot, change_types
     from feed join file_content using (path)"""
@@ -77,16 +79,18 @@ OUTCOMES = """
     from feed left join stored_files using (path)"""
 
 
-def chunks(size: int, overlap: int, max_chars: int) -> str:
+def chunks(size: int, overlap: int, max_chars: int, of_feed: bool = False) -> str:
     stride = size - overlap
-    return sql_over(
+    texts = "(select path, content from feed join file_content using (path))" if of_feed else "file_content"
+    over = over_feed if of_feed else lambda name, body: sql_over(name, body=body)
+    return over(
         "file_content",
-        body=f"""
+        f"""
         , words as (
             select path,
                    list_filter(regexp_split_to_array(content, '[ \\t\\n\\r]+'),
                                lambda w: w <> '') as words
-            from file_content),
+            from {texts}),
         starts as (
             select path, words,
                    unnest(range(1 + greatest(0, ceil((len(words) - {size}) / {stride}))::bigint))
@@ -274,4 +278,37 @@ ORACLES = {
              from elements group by source""",
     ),
     "stream_changes": over_index(FEED, f"{ENGLISH} and s2 >= 0"),
+    "manifest_run": over_index(
+        f"case when s2 <= 9 then 'first' else 'second' end as run, {FEED}", f"{ENGLISH} and s2 > -1 and {UP_TO_LATEST}"
+    ),
+    "chunk_pieces": chunks(300, 10, 5000, of_feed=True),
+    "element_pieces": over_feed("file_content", ELEMENTS + "select * from elements"),
+    "document_pieces": over_feed("file_content", DOCUMENTS),
+    "retry_failed": over_feed(
+        "stored_files",
+        f"""
+        , said as ({OUTCOMES.replace("select path,", f"select path, {DELETED_ONLY} as gone,")}),
+        owed as (select path, snapshot from said where snapshot <= 6 and not ok and not (gone and error = 'missing')),
+        tried as (
+            select path, snapshot, ok or (error = 'unreadable' and starts_with(path, '/ifs/data/en/')) as ok, error, gone,
+                   (path, snapshot) in (select (path, snapshot) from owed) as again
+            from said where snapshot > 6 or (path, snapshot) in (select (path, snapshot) from owed))
+        select t.path, t.snapshot, t.ok, case when not t.ok then t.error end as error,
+               case when not t.ok and not (t.gone and t.error = 'missing') then feed.change_types end as change_types,
+               case when not t.ok and not (t.gone and t.error = 'missing') then case when t.again then 2 else 1 end end as attempts
+        from tried t join feed on t.path = feed.path and t.snapshot = feed.snapshot""",
+    ),
+    "compact_log": sql_over(
+        "commit_log",
+        body="""
+        select app, kind, scope, version, max(snapshot) + case when version = 1 then 1 else 0 end as snapshot
+        from commit_log group by app, kind, scope, version""",
+    ),
+    "steady_predicates": sql_over(
+        "file_index",
+        body=" union all ".join(
+            f"select '{name}' as dataset, {FEED} from file_index where {REGULAR} and ({text}) and s2 > -1 and s2 <= 12"
+            for name, text in STEADY.items()
+        ),
+    ),
 }

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import snapfeed as sf
-from snapfeed.scratch import scratch_dir
+from snapfeed.scratch import scratch_dir, stored
 from snapfeed.sources.files import file_uri
 
-from .views import definitions, table, view
+from .views import STEADY, definitions, table, view
 
 EVERYTHING = sf.FolderScope("/ifs/data")
 ENGLISH = sf.FolderScope("/ifs/data/en/")
@@ -335,6 +336,86 @@ def stream_changes(spark, sf_dir):
     return joined(spark.read.parquet(sink))
 
 
+def manifest_run(spark, sf_dir):
+    """Two writes and a run after each; bounds and files come from the record of the writes."""
+    entries = index(spark, sf_dir)
+    table = sf.IndexTable(spark, scratch_dir(spark, "index"))
+    log = sf.CheckpointLog(spark, scratch_dir(spark, "checkpoints"))
+    found = []
+    for name, new in (("first", "s2 <= 9"), ("second", "s2 > 9")):
+        table.append(entries.where(new))
+        with sf.IncrementalRun(table, log, ENGLISH, app="app_a") as run:
+            found.append(run.changes().select(F.lit(name).alias("run"), "*"))
+    return joined(found[0].union(found[1]))
+
+
+def _in_pieces(spark, sf_dir):
+    """The texts as files on storage, read in pieces of 4 KB."""
+    root = scratch_dir(spark, "files")
+    write_files(view(spark, sf_dir, "file_content"), root)
+    opened = sf.open_changed_files(full_feed(spark, sf_dir), root, partitions=8, piece_bytes=4096)
+    return stored(opened, "pieces")
+
+
+def chunk_pieces(spark, sf_dir):
+    return sf.chunk_pieces(_in_pieces(spark, sf_dir)).select(*CHUNK)
+
+
+def element_pieces(spark, sf_dir):
+    return flat_documents(sf.element_pieces(_in_pieces(spark, sf_dir)))
+
+
+def document_pieces(spark, sf_dir):
+    return flat_documents(sf.whole_documents(_in_pieces(spark, sf_dir)))
+
+
+def retry_failed(spark, sf_dir):
+    """Two runs; some files were mended in between, and failed ones come again."""
+    entries = index(spark, sf_dir)
+    table = sf.IndexTable(spark, scratch_dir(spark, "index"))
+    log = sf.CheckpointLog(spark, scratch_dir(spark, "checkpoints"))
+    failures = sf.FailureLedger(spark, scratch_dir(spark, "failures"))
+    before = view(spark, sf_dir, "stored_files")
+    mended = F.when(F.col("path").like("/ifs/data/en/%"), F.col("text"))
+    whole = view(spark, sf_dir, "file_content").select("path", F.col("content").alias("text"))
+    after = before.join(whole, "path").select("path", F.coalesce("content", mended).alias("content"))
+    for new, content in (("s2 <= 6", before), ("s2 > 6", after)):
+        table.append(entries.where(new))
+        loader = sf.ContentLoader(table, log, "/ifs/data", content=content, failures=failures)
+        loader.load().write.format("noop").mode("overwrite").save()
+        loader.commit()
+    tried = stored(loader.outcomes(), "outcomes")
+    left = failures.open(*loader.current_run.key)
+    return joined(tried.join(left.drop("error"), ["path", "snapshot"], "left"))
+
+
+def compact_log(spark, sf_dir):
+    """A long log in the older form, brought down in place while commits go on."""
+    commits = view(spark, sf_dir, "commit_log")
+    path = scratch_dir(spark, "checkpoints")
+    commits.write.parquet(f"{path}/commit=0")
+    log = sf.CheckpointLog(spark, path)
+    ahead = log.current().where("version = 1").collect()
+    with ThreadPoolExecutor(4) as pool:
+        done = pool.submit(log.compact)
+        list(pool.map(lambda row: log.commit(*row[:4], row.snapshot + 1), ahead))
+        done.result()
+    log.compact()
+    return log.read()
+
+
+def steady_predicates(spark, sf_dir):
+    """Every dataset of a table of conditions, as a scope."""
+    entries = index(spark, sf_dir)
+    names = sorted(STEADY)
+    texts = spark.createDataFrame(list(STEADY.items()), "dataset string, predicate string")
+    found = [
+        sf.directory_changes(entries, sf.DatasetScope.lookup(texts, name), -1, 12).select(F.lit(name).alias("dataset"), "*")
+        for name in names
+    ]
+    return joined(reduce(DataFrame.union, found))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -383,5 +464,12 @@ QUERIES = {
         elements_by_type,
         elements_by_source,
         stream_changes,
+        manifest_run,
+        chunk_pieces,
+        element_pieces,
+        document_pieces,
+        retry_failed,
+        compact_log,
+        steady_predicates,
     )
 }

@@ -91,6 +91,14 @@ DATASETS = {
     "not_src1": "not (path like '%/src1/%')",
 }
 
+# Further ones, each a dataset of its own.
+STEADY = {
+    "even": "s2 % 2 = 0 and lin is not null",
+    "late_or_long": "s2 > 9 or length(path) > 28",
+    "one_of": "(path like '%/src1/%') = (lin between 100 and 700)",
+    "selected": "path not like '%(select 1)%' and upper(path) like '%DOC1%'",
+}
+
 TABLES = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "

@@ -29,6 +29,7 @@ from .feed import (
     to_feed,
 )
 from .paging import number_pages, ordered, page_after
+from .pieces import chunk_pieces, element_pieces, whole_documents
 from .scope import (
     DatasetScope,
     FolderScope,
@@ -45,11 +46,13 @@ __all__ = [
     "all_files",
     "balanced_join",
     "changed_between",
+    "chunk_pieces",
     "chunk_words",
     "deleted_files",
     "directory_changes",
     "document_feed",
     "document_rows",
+    "element_pieces",
     "element_stats",
     "elements_by_source",
     "elements_by_type",
@@ -79,4 +82,5 @@ __all__ = [
     "split_elements",
     "to_feed",
     "under_folder",
+    "whole_documents",
 ]

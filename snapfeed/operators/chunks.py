@@ -28,10 +28,7 @@ def chunk_words(
     cut into consecutive pieces. Gives the other columns of the document and
     ``chunk_no``, ``piece_no`` (both from 0) and ``chunk``. No shuffle.
     """
-    if not 0 <= overlap < size:
-        raise ValueError("overlap must be at least 0 and less than size")
-    if max_chars < 1:
-        raise ValueError("max_chars must be at least 1")
+    check_sizes(size, overlap, max_chars)
     stride = size - overlap
     others = [name for name in documents.columns if name != text]
 
@@ -47,6 +44,18 @@ def chunk_words(
             "_chunk"
         ),
     )
+    return capped(chunks, others, max_chars)
+
+
+def check_sizes(size: int, overlap: int, max_chars: int) -> None:
+    if not 0 <= overlap < size:
+        raise ValueError("overlap must be at least 0 and less than size")
+    if max_chars < 1:
+        raise ValueError("max_chars must be at least 1")
+
+
+def capped(chunks: DataFrame, others: list[str], max_chars: int) -> DataFrame:
+    """Chunks (``_chunk``) in pieces of at most ``max_chars`` characters."""
     last_piece = F.floor((F.length("_chunk") - 1) / max_chars).cast("int")
     return chunks.select(
         *others,

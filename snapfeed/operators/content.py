@@ -58,8 +58,13 @@ def split_elements(documents: DataFrame) -> DataFrame:
     lines = documents.select(
         "metadata",
         before.cast("int").alias("before"),
-        F.posexplode(F.split("page_content", "\n")).alias("element_no", "line"),
+        F.posexplode(F.split("page_content", "\n")).alias("at", "line"),
     )
+    return element_rows(lines.select("metadata", (F.col("before") + F.col("at")).alias("element_no"), "line"))
+
+
+def element_rows(lines: DataFrame) -> DataFrame:
+    """Elements of numbered lines (``metadata``, ``element_no``, ``line``)."""
     elements = lines.withColumn("page_content", trim_line(F.col("line"))).where(
         F.col("page_content") != ""
     )
@@ -67,7 +72,7 @@ def split_elements(documents: DataFrame) -> DataFrame:
         "page_content",
         F.col("metadata")
         .withField("category", element_category(F.col("page_content")))
-        .withField("element_no", F.col("before") + F.col("element_no"))
+        .withField("element_no", F.col("element_no"))
         .alias("metadata"),
     )
 

@@ -56,12 +56,35 @@ def page_after(
         if last[0] is not None:  # a plain range, which reaches the scan
             rest = rest.where(F.col("lin") >= F.lit(last[0]).cast("bigint"))
     rest = _front(rest, size)
-    border = rest.select("lin", "path").orderBy("lin", "path").limit(size)
-    end = border.select(_key(F.col("lin"), F.col("path")).alias("key")).agg(F.max("key").alias("end"))
-    end = end.select("end.*").toDF("has_lin", "lin", "has_path", "path").first()
-    if end is None or end["has_lin"] is None:
+    found, end = _border(rest, size)
+    if not found:
         return rest.limit(0)
-    return rest.where(own <= key_of(end["lin"], end["path"])).orderBy(*ORDER)
+    if end is not None:
+        rest = rest.where(own <= key_of(*end))
+    return rest.orderBy(*ORDER)
+
+
+def _border(entries: DataFrame, size: int, min_rows: int = MIN_ROWS) -> tuple[int, tuple | None]:
+    """Number of entries, and the key of the one that is ``size``-th in order, if there are more.
+
+    The keys are sorted as consecutive ranges, and stored with their places in
+    these. The counts of the ranges tell which one holds the entry looked for, so
+    that no task sees more than one range, however many entries share a number.
+    """
+    table = scratch_dir(entries.sparkSession, "page-keys")
+    keys = range_sorted(entries.select("lin", "path"), ["lin", "path"], min_rows=min_rows)
+    keys.withColumn("_row", F.monotonically_increasing_id()).write.parquet(table)
+    rows = entries.sparkSession.read.schema("lin bigint, path string, _row bigint").parquet(table)
+    part = F.shiftright("_row", _POSITION_BITS).cast("int")
+    counts = sorted(rows.groupBy(part.alias("part")).count().collect())
+    before = 0
+    for number, count in counts:
+        if size <= before + count:
+            place = (number << _POSITION_BITS) + size - before - 1
+            border = rows.where(F.col("_row") == place).select("lin", "path").first()
+            return sum(row["count"] for row in counts), tuple(border)
+        before += count
+    return before, None
 
 
 def _front(entries: DataFrame, size: int) -> DataFrame:
@@ -69,8 +92,7 @@ def _front(entries: DataFrame, size: int) -> DataFrame:
 
     The bound is a quantile from bounded summaries per task. A summary errs by at
     most one row in ``_ACCURACY``, a small part of what is taken beyond ``size``.
-    Each pass leaves about a page or a 4,096th of the rows, so that a task which
-    brings the first rows together never gets those of every task.
+    Each pass leaves about a page or a 4,096th of the rows.
     """
     shares = [4.0**-k for k in range(7)]
     while True:

@@ -12,17 +12,19 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from ..operators.content import (
-    document_rows,
     load_documents,
     outcome_rows,
     outcomes,
     split_elements,
 )
 from ..operators.feed import document_feed
+from ..operators.pieces import element_pieces, whole_documents
 from ..operators.scope import make_scope
 from ..sources.checkpoints import CheckpointLog
 from ..scratch import stored
+from ..sources.failures import FailureLedger
 from ..sources.files import open_changed_files
+from ..sources.manifest import IndexTable
 from .run import DEFAULT_APP, DEFAULT_VERSION, IncrementalRun, consumed
 
 
@@ -31,7 +33,7 @@ class PathLoader:
 
     def __init__(
         self,
-        index: DataFrame,
+        index: DataFrame | IndexTable,
         log: CheckpointLog,
         folder_path: str | None = None,
         dataset_name: str | None = None,
@@ -41,7 +43,9 @@ class PathLoader:
         app_version: int = DEFAULT_VERSION,
         folder_mode: str = "prefix",
         high: int | None = None,
+        failures: FailureLedger | None = None,
     ) -> None:
+        self.failures = failures
         self.index = index
         self.log = log
         self.scope = make_scope(folder_path, dataset_name, dataset_definitions, folder_mode)
@@ -60,6 +64,7 @@ class PathLoader:
             self.app_version,
             force_scan=self.force_scan,
             high=self.high,
+            failures=self.failures,
         )
         return self.current_run
 
@@ -91,6 +96,9 @@ class ContentLoader(PathLoader):
     ``load()`` reads every file, once, into a table in the shared folder, from
     which both the documents and the outcomes are taken: they tell of one and the
     same read, and a read that fails leaves nothing to commit.
+
+    With a ledger of ``failures`` a file that could not be read comes again with
+    the next load, until it can be.
     """
 
     MODES = ("single", "elements")
@@ -123,7 +131,7 @@ class ContentLoader(PathLoader):
         else:
             opened = open_changed_files(feed, self.root, self.partitions, encoding=self.encoding)
             self.read = stored(opened, "files")
-            documents = document_rows(self.read)
+            return element_pieces(self.read) if self.mode == "elements" else whole_documents(self.read)
         return split_elements(documents) if self.mode == "elements" else documents
 
     def outcomes(self) -> DataFrame:
@@ -137,4 +145,6 @@ class ContentLoader(PathLoader):
     def commit(self) -> bool:
         if self.content is None and self.read is None:
             raise ValueError("nothing was loaded yet")
+        if self.failures and self.current_run is not None:
+            self.current_run.report(self.outcomes())
         return super().commit()

@@ -2,11 +2,15 @@
 
 from .checkpoints import CheckpointLog, current_checkpoints, last_snapshot, last_snapshot_row
 from .datasets import dataset_predicate
+from .failures import FailureLedger
 from .files import open_changed_files
 from .index import flatten_index, nest_index, read_index, recorded_high, write_index
+from .manifest import IndexTable
 
 __all__ = [
     "CheckpointLog",
+    "FailureLedger",
+    "IndexTable",
     "current_checkpoints",
     "dataset_predicate",
     "flatten_index",

@@ -1,8 +1,7 @@
 """Checkpoints: how far an application got in a scope.
 
-The log only grows, one row per commit; the checkpoint of a key is the maximum
-over its rows. A stale or concurrent writer therefore can neither move a
-checkpoint back nor overwrite another key.
+The checkpoint of a key is the maximum over its commits. A stale or concurrent
+writer can neither move a checkpoint back nor overwrite another key.
 """
 
 from __future__ import annotations
@@ -17,9 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import CHECKPOINT_SCHEMA
+from .versions import Store, Versions
 
 KEY = ("app", "kind", "scope", "version")
 NO_SNAPSHOT = -1
+# Folder of a key's versions; Spark's readers pass over such names unless they are told.
+_STATE = "_state"
 
 
 def current_checkpoints(log: DataFrame) -> DataFrame:
@@ -48,22 +50,25 @@ def last_snapshot(log: DataFrame, app: str, kind: str, scope: str, version: int)
 
 
 class CheckpointLog:
-    """Checkpoint log in a folder all executors can reach.
-
-    Each commit is written to a folder of its own, so that writers running at
-    the same time never share a job's staging folder. The commits of a key lie
-    together below a folder named by its hash, so that a lookup lists and reads
-    what belongs to the key, and commits that lie directly in the log: those of
-    :meth:`compact_to`, and of logs written before keys had folders.
+    """Checkpoint log in a folder that the driver and all executors can reach.
+
+    A key has a folder of its own, named by its hash, with one small state in
+    numbered versions (:class:`Versions`): a commit puts the next one, unless
+    another writer has, and the versions behind are removed in time. So a lookup
+    reads one file however often was committed. Logs written before this, by a
+    parquet folder per commit, are read as well, until :meth:`compact` has taken
+    them up.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
+        self._store = Store(spark, self.path)
 
     def read(self) -> DataFrame:
-        """All commits; no rows when nothing was ever committed."""
-        return self._stored(self.path) or self._nothing()
+        """All commits that are still there, the newest of each key among them; no rows when there was none."""
+        found = [self._stored(self.path), self._states()]
+        return reduce(DataFrame.unionAll, [rows for rows in found if rows is not None] or [self._nothing()])
 
     def _stored(self, path: str) -> DataFrame | None:
         try:
@@ -77,38 +82,90 @@ class CheckpointLog:
                 raise
             return None
 
+    def _states(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(CHECKPOINT_SCHEMA).json(f"{self.path}/key=*/{_STATE}/*.json")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def _nothing(self) -> DataFrame:
         return self.spark.range(0).select(
             *(F.lit(None).cast(f.dataType).alias(f.name) for f in CHECKPOINT_SCHEMA.fields)
         )
 
-    def _folder(self, app: str, kind: str, scope: str, version: int) -> str:
+    @staticmethod
+    def _name(app: str, kind: str, scope: str, version: int) -> str:
         key = json.dumps([app, kind, scope, version])
-        return f"{self.path}/key={hashlib.sha256(key.encode()).hexdigest()[:32]}"
+        return f"key={hashlib.sha256(key.encode()).hexdigest()[:32]}"
+
+    def _folder(self, app: str, kind: str, scope: str, version: int) -> str:
+        return f"{self.path}/{self._name(app, kind, scope, version)}"
+
+    def _versions(self, *key) -> Versions:
+        return Versions(self.spark, f"{self._folder(*key)}/{_STATE}")
 
     def current(self) -> DataFrame:
         return current_checkpoints(self.read())
 
+    def _parquet(self, *key) -> list[str]:
+        """Names of commits in the older form that may be of a key: its own, and those of no key."""
+        mine = self._name(*key)
+        own = [f"{mine}/{name}" for name in self._store.names(mine) if name != _STATE]
+        return own + [name for name in self._store.names() if not name.startswith(("key=", "_", "."))]
+
+    def _older(self, *key) -> int:
+        """What commits in the older form say of a key."""
+        while names := self._parquet(*key):
+            try:
+                found = [self._stored(f"{self.path}/{name}") for name in names]
+                rows = reduce(DataFrame.unionAll, [rows for rows in found if rows is not None] or [self._nothing()])
+                return last_snapshot(rows, *key)
+            except Exception:
+                if self._parquet(*key) == names:  # else they were taken into the states meanwhile
+                    raise
+        return NO_SNAPSHOT
+
     def last_snapshot(self, app: str, kind: str, scope: str, version: int) -> int:
-        paths = (self._folder(app, kind, scope, version), f"{self.path}/{{commit=*,*.parquet}}")
-        found = [rows for rows in map(self._stored, paths) if rows is not None]
-        if not found:
-            return NO_SNAPSHOT
-        return last_snapshot(reduce(DataFrame.unionAll, found), app, kind, scope, version)
+        key = (app, kind, scope, version)
+        # in this order: compact() puts a state before it removes what the state was made of
+        older, (_, state) = self._older(*key), self._versions(*key).read()
+        return max(older, state["snapshot"] if state else NO_SNAPSHOT)
 
     def commit(self, app: str, kind: str, scope: str, version: int, snapshot: int) -> bool:
-        """Append one row unless the key is already that far; tells if it wrote."""
-        if snapshot <= self.last_snapshot(app, kind, scope, version):
-            return False
-        values = (app, kind, scope, version, snapshot)
-        row = self.spark.range(0, 1, 1, 1).select(
-            *(
-                F.lit(value).cast(field.dataType).alias(field.name)
-                for value, field in zip(values, CHECKPOINT_SCHEMA.fields, strict=True)
-            )
-        )
-        row.write.parquet(f"{self._folder(app, kind, scope, version)}/commit={uuid.uuid4().hex}")
-        return True
+        """Put the next state unless the key is already that far; tells if it wrote."""
+        key = (app, kind, scope, version)
+        older = self._older(*key)
+
+        def next_state(state: dict | None) -> dict | None:
+            if snapshot <= max(older, state["snapshot"] if state else NO_SNAPSHOT):
+                return None
+            return dict(zip(CHECKPOINT_SCHEMA.names, (*key, snapshot), strict=True))
+
+        return self._versions(*key).change(next_state)
+
+    def compact(self) -> None:
+        """Bring every key down to its newest state, in place.
+
+        Commits may go on meanwhile. What is in the older form is taken into the
+        states first and removed only then; commits that come after the look at
+        the folder are left for the next time.
+        """
+        top = self._store.names()
+        names = [name for name in top if not name.startswith(("key=", "_", "."))]
+        keys = [name for name in top if name.startswith("key=")]
+        names += [f"{key}/{name}" for key in keys for name in self._store.names(key) if name != _STATE]
+        if names:
+            rows = self.spark.read.schema(CHECKPOINT_SCHEMA).option("recursiveFileLookup", "true")
+            for row in current_checkpoints(rows.parquet(*(f"{self.path}/{name}" for name in names))).toLocalIterator():
+                self._versions(*row[:4]).change(
+                    lambda state, row=row: None if state and state["snapshot"] >= row.snapshot else row.asDict()
+                )
+            for name in names:
+                self._store.remove(name)
+        for key in keys:
+            Versions(self.spark, f"{self.path}/{key}/{_STATE}").trim(0)
 
     def compact_to(self, path: str) -> CheckpointLog:
         """Write one row per key to a new log; the old one stays as it is."""

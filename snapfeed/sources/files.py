@@ -17,7 +17,7 @@ MISSING = "missing"
 UNREADABLE = "unreadable"
 
 # A larger file is read as consecutive pieces of about this size, a row each.
-PIECE_BYTES = 1 << 27
+PIECE_BYTES = 1 << 24
 # Files that one task opens unless the caller says how to spread the feed.
 FILES_PER_TASK = 1000
 # Seconds to wait before the storage is asked again; after the last the task fails.

@@ -3,7 +3,7 @@ import random
 import pytest
 
 import snapfeed as sf
-from snapfeed.operators.paging import _front
+from snapfeed.operators.paging import _border, _front
 from snapfeed.schema import INDEX_SCHEMA
 
 
@@ -91,3 +91,19 @@ def test_the_front_of_a_large_index(spark):
 def test_one_number_in_nearly_all_entries(spark):
     entries = spark.range(5000).selectExpr("3L as lin", "concat('/', id) as path", "1L as s2")
     assert sf.page_after(entries, None, 20).count() == 20
+
+
+def test_the_border_comes_from_one_range(spark, make_index):
+    """Nearly all entries share a number: still no task sorts more than a range of them."""
+    rows = [(3, f"/ifs/{n % 500:03}", "regular", n % 7, None) for n in range(4000)] + [(None, None, "regular", 1, None), (9, "/z", "regular", 1, None)]
+    index = make_index(rows).repartition(6)
+    wanted = sorted(((lin is not None, lin or 0), path or "") for lin, path, *_ in rows)
+    for size in (1, 7, 2000, 4002, 9000):
+        found, end = _border(index, size, min_rows=100)
+        assert found == 4002
+        if size >= 9000:
+            assert end is None
+        else:
+            lin, path = end
+            assert ((lin is not None, lin or 0), path or "") == wanted[size - 1]
+    assert _border(index.limit(0), 5) == (0, None)

@@ -129,3 +129,36 @@ def test_dataset_is_joined_to_the_other_conditions_as_a_whole(make_index):
 def test_modes_have_checkpoints_of_their_own():
     keys = {sf.FolderScope("/ifs/data", mode=mode).key for mode in ("prefix", "subtree", "phrase")}
     assert len(keys) == 3 and "/ifs/data" in keys
+
+
+@pytest.mark.parametrize(
+    "predicate",
+    [
+        "current_date > date'2020-01-01'",
+        "unix_timestamp() % 2 = 0",
+        "input_file_name() like '%a%'",
+        "_metadata.file_path like '%a%'",
+        "_metadata is not null",
+        "path < current_timestamp",
+        "current_user() = 'a'",
+        "spark_partition_id() = 1",
+        "monotonically_increasing_id() > 2",
+        "lin",
+        "path",
+        "sum(lin) > 1",
+        "row_number() over (order by lin) > 1",
+        "explode(change_types) = 'a'",
+        "lin > ",
+        "nowhere.column = 1",
+        "no_such_function(lin)",
+        "try_reflect('java.lang.Math', 'random') > '1'",
+    ],
+)
+def test_predicates_that_follow_the_clock_the_file_or_nothing(spark, predicate):
+    with pytest.raises(ValueError):
+        check_predicate(predicate)
+
+
+@pytest.mark.parametrize("predicate", ["s2 > unix_timestamp('2020-01-01')", "array_contains(change_types, 'a') or owner = 'x'"])
+def test_steady_predicates(spark, predicate):
+    assert check_predicate(predicate) == predicate
