@@ -82,8 +82,9 @@ def test_nothing_read(spark):
         assert found.count() == 0
 
 
-def test_files_in_one_piece_are_not_shuffled(read, plan_of):
-    plan = plan_of(sf.chunk_pieces(read))
+def test_files_in_one_piece_are_not_shuffled(spark, read, plan_of, tmp_path):
+    read.write.parquet(str(tmp_path / "read"))
+    plan = plan_of(sf.chunk_pieces(spark.read.schema(read.schema).parquet(str(tmp_path / "read"))))
     tree = plan[: plan.index("\n\n")].splitlines()
     first = [line for line in tree if line.startswith("   :")]  # the first of the union's two sides
     assert any("Generate" in line for line in first) and not any("Exchange" in line for line in first)
