@@ -281,6 +281,7 @@ ORACLES = {
     "manifest_run": over_index(
         f"case when s2 <= 9 then 'first' else 'second' end as run, {FEED}", f"{ENGLISH} and s2 > -1 and {UP_TO_LATEST}"
     ),
+    "stream_snapshots": over_index(FEED, f"{ENGLISH} and (s2 > 6 or lin % 7 <> 0)"),
     "chunk_pieces": chunks(300, 10, 5000, of_feed=True),
     "element_pieces": over_feed("file_content", ELEMENTS + "select * from elements"),
     "document_pieces": over_feed("file_content", DOCUMENTS),

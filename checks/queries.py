@@ -349,6 +349,18 @@ def manifest_run(spark, sf_dir):
     return joined(found[0].union(found[1]))
 
 
+def stream_snapshots(spark, sf_dir):
+    """A stream by snapshots over two writes; what comes late with an old snapshot is passed over."""
+    entries = index(spark, sf_dir)
+    table = sf.IndexTable(spark, scratch_dir(spark, "index"))
+    sink, state = (scratch_dir(spark, name) for name in ("sink", "stream"))
+    for new in ("s2 <= 6 and lin % 7 <> 0", "s2 > 6 or lin % 7 = 0"):
+        table.append(entries.where(new))
+        feed = sf.stream_changes(sf.read_snapshot_stream(spark, table.path), ENGLISH)
+        sf.write_available(feed, state, sink=sink)
+    return joined(spark.read.parquet(sink))
+
+
 def _in_pieces(spark, sf_dir):
     """The texts as files on storage, read in pieces of 4 KB."""
     root = scratch_dir(spark, "files")
@@ -465,6 +477,7 @@ QUERIES = {
         elements_by_source,
         stream_changes,
         manifest_run,
+        stream_snapshots,
         chunk_pieces,
         element_pieces,
         document_pieces,

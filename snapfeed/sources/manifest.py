@@ -15,7 +15,7 @@ from .index import with_change_list
 from .versions import Store, Versions
 
 # Folders beside the entries; readers of the plain files pass over names with an underscore.
-_MANIFEST, _SEGMENTS = "_manifest", "_manifest/segments"
+MANIFEST, SEGMENTS = "_manifest", "_manifest/segments"
 # Seconds to wait for the record of a write that has just ended.
 _WAITS = (0.2, 1.0, 4.0)
 
@@ -38,7 +38,7 @@ class IndexTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self._store = Store(spark, self.path)
-        self._versions = Versions(spark, f"{self.path}/{_MANIFEST}")
+        self._versions = Versions(spark, f"{self.path}/{MANIFEST}")
         self._fixed: list[dict] | None = None
 
     def frozen(self) -> IndexTable:
@@ -73,7 +73,7 @@ class IndexTable:
             name = next(n for n in names if f"/{n}" in file["file"])
             file["file"] = name + file["file"].rpartition(f"/{name}")[2]
         segment = f"{uuid.uuid4().hex}.json"
-        self._store.put(f"{_SEGMENTS}/{segment}", json.dumps(files))
+        self._store.put(f"{SEGMENTS}/{segment}", json.dumps(files))
         added = {"segment": segment, "names": names, "files": len(files), **_hull(files)}
 
         def extended(state: list[dict] | None) -> list[dict] | None:
@@ -112,21 +112,14 @@ class IndexTable:
     def files(self, low: int | None = None, high: int | None = None, prefix: str = "") -> list[str]:
         """Files that can hold entries with ``low < s2 <= high`` and paths that begin with ``prefix``."""
 
-        def overlaps(zone: dict) -> bool:
-            if low is not None and (zone["high_s2"] is None or zone["high_s2"] <= low):
-                return False
-            if high is not None and (zone["low_s2"] is None or zone["low_s2"] > high):
-                return False
-            if not prefix:
-                return True
-            return zone["low_path"] is not None and zone["low_path"][: len(prefix)] <= prefix <= zone["high_path"]
-
         found = []
-        for segment in filter(overlaps, self.segments()):
-            text = self._store.read(f"{_SEGMENTS}/{segment['segment']}")
+        for segment in self.segments():
+            if not overlapping(segment, low, high, prefix):
+                continue
+            text = self._store.read(f"{SEGMENTS}/{segment['segment']}")
             if text is None:
                 raise ValueError(f"{self.path} has lost a part of its record: {segment['segment']}")
-            found += [zone["file"] for zone in json.loads(text) if overlaps(zone)]
+            found += [zone["file"] for zone in json.loads(text) if overlapping(zone, low, high, prefix)]
         return found
 
     def read(self, low: int | None = None, high: int | None = None, prefix: str = "") -> DataFrame:
@@ -147,6 +140,17 @@ class IndexTable:
             raise ValueError(f"files and record of {self.path} differ: {sorted(found ^ recorded)[:5]}")
 
 
+def overlapping(zone: dict, low: int | None, high: int | None, prefix: str = "") -> bool:
+    """Whether a file (or what was written with it) can hold an entry of a range of snapshots and paths."""
+    if low is not None and (zone["high_s2"] is None or zone["high_s2"] <= low):
+        return False
+    if high is not None and (zone["low_s2"] is None or zone["low_s2"] > high):
+        return False
+    if not prefix:
+        return True
+    return zone["low_path"] is not None and zone["low_path"][: len(prefix)] <= prefix <= zone["high_path"]
+
+
 def _hull(files: list[dict]) -> dict:
     def of(column: str, f) -> dict:
         values = [file[column] for file in files if file[column] is not None]

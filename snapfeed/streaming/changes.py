@@ -3,7 +3,8 @@
 Each start takes the index files that are new since the last start and ends.
 Its offset is a file, not a snapshot: it fits an index that grows by files, and
 unlike the batch run it also delivers an entry that turns up late with an old
-snapshot. For an index rewritten in place use
+snapshot. :func:`snapfeed.streaming.read_snapshot_stream` goes by snapshots
+instead. For an index rewritten in place use
 :class:`snapfeed.plans.IncrementalRun`.
 """
 

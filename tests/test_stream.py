@@ -83,3 +83,50 @@ def test_one_target_only(spark, drops):
     for targets in ({}, {"sink": "x", "each_batch": print}):
         with pytest.raises(ValueError):
             sf.write_available(feed, "state", **targets)
+
+
+def test_batches_by_snapshot(spark, make_index, tmp_path):
+    """Late rows are passed over as by batch runs, and a batch that failed comes again with the same rows."""
+    table = sf.IndexTable(spark, str(tmp_path / "index"))
+    log = sf.CheckpointLog(spark, str(tmp_path / "log"))
+    batches, runs, failing = [], [], [True]
+
+    def take(batch, number):
+        if failing and number == 1:
+            failing.clear()
+            # written between the attempts, with a snapshot of the batch's range
+            table.append(make_index([row(50, 4)]))
+            raise RuntimeError("sink is down")
+        batches.append((number, sorted((r.path, r.snapshot) for r in batch.collect())))
+
+    def start():
+        feed = sf.stream_changes(sf.read_snapshot_stream(spark, table.path), SCOPE)
+        sf.write_available(feed, str(tmp_path / "state"), each_batch=take, timeout=120)
+
+    def run():
+        with sf.IncrementalRun(table, log, SCOPE) as batch:
+            runs.append(sorted((r.path, r.snapshot) for r in batch.changes().collect()))
+
+    table.append(make_index([row(1, 0), row(2, 3), row(3, 3, "b"), row(4, None)]))
+    start()
+    run()
+    table.append(make_index([row(5, 2), row(6, 4), row(7, 5, changes=["ENTRY_ADDED"])]))
+    run()
+    with pytest.raises(Exception, match="sink is down"):
+        start()
+    start()
+    start()
+    # a write of late rows alone makes a batch without rows
+    assert batches[:2] == [(0, [("/ifs/a/1", 0), ("/ifs/a/2", 3)]), (1, [("/ifs/a/6", 4), ("/ifs/a/7", 5)])]
+    assert [rows for _, rows in batches[2:] if rows] == []
+    assert runs == [rows for _, rows in batches[:2]]
+
+
+def test_a_stream_by_snapshots_may_begin_later(spark, make_index, tmp_path):
+    table = sf.IndexTable(spark, str(tmp_path / "index"))
+    sink = str(tmp_path / "sink")
+    for number in range(3):
+        table.append(make_index([row(10 * number + n, n) for n in range(6)]), partitions=2)
+    feed = sf.stream_changes(sf.read_snapshot_stream(spark, f"file://{table.path}", low=3, files_per_task=1), SCOPE)
+    sf.write_available(feed, str(tmp_path / "state"), sink=sink, timeout=120)
+    assert sorted(r.snapshot for r in spark.read.parquet(sink).collect()) == [4] * 3 + [5] * 3
