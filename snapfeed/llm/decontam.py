@@ -45,19 +45,23 @@ def _spelled(words: str, n: str) -> Column:
 def fingerprint(shingles: str) -> Column:
     """SimHash of an array of strings; each counts as often as it occurs.
 
-    Four counters of 16 bits are added up at a time.
+    Two counters of 31 bits are added up at a time, which no array can fill.
     """
-    hashes = f"transform({shingles}, s -> xxhash64(s))"
-    bits = []
-    for b in range(16):
-        total = (
-            f"aggregate({hashes}, 0L, (sum, h) -> sum + (shiftrightunsigned(h, {b}) & 281479271743489L))"
-        )
-        bits += [
-            f"if(2 * (shiftrightunsigned({total}, {16 * k}) & 65535) > size({shingles}), shiftleft(1L, {b + 16 * k}), 0L)"
-            for k in range(4)
-        ]
-    return F.expr(" | ".join(bits))
+    sums = [
+        f"aggregate(hashes, 0L, (sum, h) -> sum + (shiftrightunsigned(h, {b}) & {1 | 1 << 31}L))" for b in range(31)
+    ] + [
+        f"aggregate(hashes, 0L, (sum, h) -> sum + (shiftrightunsigned(h, {b}) & 1L))" for b in (62, 63)
+    ]
+    bits = [
+        f"if(2 * (shiftrightunsigned(sums[{b}], {31 * k}) & {(1 << 31) - 1}L) > size(hashes), shiftleft(1L, {b + 31 * k}), 0L)"
+        for b in range(31)
+        for k in range(2)
+    ] + [f"if(2 * sums[{31 + k}] > size(hashes), shiftleft(1L, {62 + k}), 0L)" for k in range(2)]
+    # a one-element array names what would else be worked out for every bit
+    counted = f"transform(array({shingles}), given -> transform(given, s -> xxhash64(s)))"
+    counted = f"transform({counted}, hashes -> named_struct('hashes', hashes, 'sums', array({', '.join(sums)})))"
+    folded = " | ".join(bits).replace("sums[", "x.sums[").replace("size(hashes)", "size(x.hashes)")
+    return F.expr(f"transform({counted}, x -> {folded})[0]")
 
 
 def _blocks(fingerprint: str) -> Column:
