@@ -50,12 +50,24 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), "text")
 
 
+def free(names: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores as make it differ from ``names``."""
+    taken = {name.lower() for name in names}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` and key are not in ``gone``; their columns alone."""
-    listed, n = cut_counted(gone.select(F.col("doc_id").alias("g_id"), F.col("key").alias("g_key")).distinct(), "gone")
+    """Rows of ``docs`` whose ``doc_id`` and key are not in ``gone``; their columns alone, whatever their names."""
+    own, g_id, g_key = free(docs.columns, "own_key", "g_id", "g_key")
+    listed, n = cut_counted(gone.select(F.col("doc_id").alias(g_id), F.col("key").alias(g_key)).distinct(), "gone")
     listed = F.broadcast(listed) if n <= BROADCAST_ROWS else listed
-    mine = docs.withColumn("own_key", F.xxhash64("doc_id", "text"))
-    same = (F.col("own_key") == F.col("g_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("g_id"))
+    mine = docs.withColumn(own, F.xxhash64("doc_id", "text"))
+    same = (F.col(own) == F.col(g_key)) & F.col("doc_id").cast("long").eqNullSafe(F.col(g_id))
     return mine.join(listed, same, "left_anti").select(*docs.columns)
 
 

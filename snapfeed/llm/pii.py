@@ -5,15 +5,18 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, blocks, cut, cut_counted, in_batches, keyed
+from .common import BROADCAST_ROWS, blocks, cut, cut_counted, free, in_batches, keyed
 
 #: Key of the surrogates in the registered query. Whoever holds a corpus uses a secret one.
 KEY = "replace-this-key"
+#: Rounds after which forms that are full are permuted as they are.
+ROUNDS = 12
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}")
@@ -178,7 +181,7 @@ def _name(value: str, gender: str, key: str, attempt: int) -> str:
         number = _random(key, "name", gender, value if attempt else "", part, i and 1, attempt)
         letters = _SYLLABLES[script]
         made = ""
-        for _ in range(3 + (i > 0)):
+        for _ in range(3 + (i > 0) + attempt):
             number, k = divmod(number, len(letters))
             made += letters[k]
         made += _ENDINGS[script][gender] if i == 0 else ""
@@ -186,6 +189,27 @@ def _name(value: str, gender: str, key: str, attempt: int) -> str:
     return "".join(out)
 
 
+def canonical(kind: str, value: str) -> str:
+    """The spelling that stands for an entity: a mail domain is the same in capitals."""
+    if kind != "email":
+        return value
+    local, _, domain = value.rpartition("@")
+    return f"{local}@{domain.lower()}"
+
+
+#: Kinds whose surrogates have the form of the value and no room beyond it.
+_FIXED = ("ip", "phone", "card", "ssn", "iban")
+
+
+def room_of(kind: str, value: str) -> str:
+    """What a value shares with all others among which its surrogates are permuted."""
+    if kind == "ip":
+        parts = [int(x) for x in value.split(".")]
+        fixed = 1 if parts[0] in (10, 127) else 2 if parts[:2] == [192, 168] or parts[0] == 172 and 16 <= parts[1] < 32 else 0
+        return ".".join(map(str, parts[:fixed]))
+    return re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "0", value)))
+
+
 def surrogate(kind: str, value: str, key: str, attempt: int = 0) -> str:
     """A replacement of the same kind and form; one value always gets the same.
 
@@ -193,13 +217,19 @@ def surrogate(kind: str, value: str, key: str, attempt: int = 0) -> str:
     or invalid by its check digit; a private address stays in its range; a mail
     domain has one surrogate whoever's it is; a name keeps script and gender.
     Except for names, different values have different surrogates per attempt.
+    Names and the local parts of mail addresses grow with the attempt, so that
+    there is always room for one more.
     """
     if kind.startswith("name "):
         return _name(value, kind[5:], key, attempt)
     if kind == "email":
         local, _, domain = value.rpartition("@")
         host, _, top = domain.rpartition(".")
-        return f"{_same_form(local, key, kind, attempt)}@{_same_form(host.lower(), key, 'domain')}.{top.lower()}"
+        number, more = _random(key, "more", value, attempt), ""
+        for _ in range(attempt):
+            number, k = divmod(number, 26)
+            more += _CLASSES[1][k]
+        return f"{_same_form(local, key, kind, attempt)}{more}@{_same_form(host.lower(), key, 'domain')}.{top.lower()}"
     if kind == "ip":
         parts = [int(x) for x in value.split(".")]
         number = int.from_bytes(bytes(parts))
@@ -241,7 +271,7 @@ def mentions(docs: DataFrame) -> DataFrame:
             for block in blocks(batch):
                 for doc_id, key, raw in zip(*(block.column(x).to_pylist() for x in ("doc_id", "key", "text")), strict=True):
                     text = (raw or b"").decode("utf-8", "replace")
-                    for kind, value in sorted({(kind, text[a:b]) for a, b, kind in find_entities(text)}):
+                    for kind, value in sorted({(kind, canonical(kind, text[a:b])) for a, b, kind in find_entities(text)}):
                         yield doc_id, key, kind, value
 
     return (
@@ -266,18 +296,38 @@ def _with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     return entities.select("kind", "value", "attempt").mapInArrow(work, "kind string, value string, attempt int, surrogate string")
 
 
+def _rooms(entities: DataFrame) -> DataFrame:
+    """``kind``, ``value`` with the ``room`` of the value."""
+    schema = pa.schema([("kind", pa.string()), ("value", pa.string()), ("room", pa.string())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rooms = [room_of(*row) for row in zip(*(batch.column(x).to_pylist() for x in ("kind", "value")), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("kind", "value")), pa.array(rooms, pa.string())], schema=schema)
+
+    return entities.select("kind", "value").mapInArrow(work, "kind string, value string, room string")
+
+
 def settle_collisions(entities: DataFrame, key: str) -> DataFrame:
     """An attempt for every entity (``kind``, ``value``) such that surrogates differ.
 
     A surrogate may be neither a real value of its kind nor that of another
     entity; of those that share one the smallest value keeps it and the others
     try again, until none collides.
+
+    Where a corpus holds so many values of one form that there is hardly room
+    beside them (all addresses of a private network, say), that may never be.
+    After ``ROUNDS`` the values of such a form are permuted among themselves by
+    the first attempt: different ones stay different, but a surrogate may be the
+    real value of another. Names and mail addresses always find room; should
+    they not, it is an error that tells how many are left.
     """
     named = cut(
         _with_surrogates(entities.select("kind", "value").distinct().withColumn("attempt", F.lit(0)), key), "pii-entities"
     )
     group = F.substring_index("kind", " ", 1)  # a name stands for one person, whichever the title
-    while True:
+    done = None
+    for round_ in count():
         real = named.select(group.alias("g"), F.col("value").alias("s")).distinct().withColumn("real", F.lit(True))
         least = named.groupBy(group.alias("g"), F.col("surrogate").alias("s")).agg(F.min("value").alias("least"), F.max("value").alias("most"))
         judged = (
@@ -287,9 +337,18 @@ def settle_collisions(entities: DataFrame, key: str) -> DataFrame:
             .join(real, ["g", "s"], "left")
         )
         again = F.coalesce("real", F.lit(False)) | F.coalesce(F.col("least") != F.col("value"), F.lit(False))
-        judged, _ = cut_counted(judged.select("kind", "value", "attempt", "surrogate", again.alias("again")), "pii-judged")
+        judged = cut(judged.select("kind", "value", "attempt", "surrogate", again.alias("again")), "pii-judged")
         if judged.where("again").isEmpty():
-            return named
+            return named if done is None else named.unionAll(done)
+        if round_ >= ROUNDS and done is None:
+            rooms = _rooms(judged.where(F.col("kind").isin(*_FIXED) & F.col("again"))).select("kind", "room").distinct()
+            placed = _rooms(judged.where(F.col("kind").isin(*_FIXED))).join(rooms, ["kind", "room"], "left_semi")
+            placed = cut(placed.select("kind", "value").distinct().withColumn("attempt", F.lit(0)), "pii-full")
+            done = cut(_with_surrogates(placed, key), "pii-entities")
+            named = cut(named.join(placed, ["kind", "value"], "left_anti").select("kind", "value", "attempt", "surrogate"), "pii-entities")
+            continue
+        if round_ >= 4 * ROUNDS:
+            raise RuntimeError(f"{judged.where('again').count()} entities found no surrogate of their own")
         changed = _with_surrogates(judged.where("again").withColumn("attempt", F.col("attempt") + 1), key)
         named = cut(judged.where("not again").select("kind", "value", "attempt", "surrogate").unionAll(changed), "pii-entities")
 
@@ -312,35 +371,36 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     names = [name for name in docs.columns if name.lower() != "n_entities"]
     schema = docs.select(*names).schema
     rows = docs.select(*names)
+    raw, own, odd_id, odd_key, odd_ones_of = free(names, "raw_text", "own_key", "odd_id", "odd_key", "odd_entities")
     extra: list[str] = []
     if n_odd:
         small = F.broadcast(odd) if n_odd <= BROADCAST_ROWS // 10 else odd
         of_doc = (
             found.join(small, ["kind", "value"])
-            .groupBy(F.col("doc_id").alias("odd_id"), F.col("key").alias("odd_key"))
-            .agg(F.collect_set(F.struct("kind", "value", "surrogate")).alias("odd_entities"))
+            .groupBy(F.col("doc_id").alias(odd_id), F.col("key").alias(odd_key))
+            .agg(F.collect_set(F.struct("kind", "value", "surrogate")).alias(odd_ones_of))
         )
         of_doc, n = cut_counted(of_doc, "pii-odd-docs")
         of_doc = F.broadcast(of_doc) if n <= BROADCAST_ROWS // 10 else of_doc
-        same = F.expr("own_key = odd_key and cast(doc_id as long) <=> odd_id")
-        rows = rows.withColumn("own_key", F.xxhash64("doc_id", "text")).join(of_doc, same, "left")
-        rows = rows.select(*names, "odd_entities")
-        extra = ["odd_entities"]
+        same = (F.col(own) == F.col(odd_key)) & F.col("doc_id").cast("long").eqNullSafe(F.col(odd_id))
+        rows = rows.withColumn(own, F.xxhash64("doc_id", "text")).join(of_doc, same, "left")
+        rows = rows.select(*names, odd_ones_of)
+        extra = [odd_ones_of]
     out = schema.add("n_entities", "long")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[tuple[str, str], str] = {}
         for batch in batches:
-            for block in blocks(batch, "raw_text"):
-                odd_of = block.column("odd_entities").to_pylist() if extra else [None] * block.num_rows
+            for block in blocks(batch, raw):
+                odd_of = block.column(odd_ones_of).to_pylist() if extra else [None] * block.num_rows
                 texts, counts = [], []
-                for raw, odd_ones in zip(block.column("raw_text").to_pylist(), odd_of, strict=True):
-                    text = None if raw is None else raw.decode("utf-8", "replace")
+                for given, odd_ones in zip(block.column(raw).to_pylist(), odd_of, strict=True):
+                    text = None if given is None else given.decode("utf-8", "replace")
                     entities = find_entities(text) if text else []
                     other = {(x["kind"], x["value"]): x["surrogate"] for x in odd_ones or ()}
                     parts, at = [], 0
                     for a, b, kind in entities:
-                        name = kind, text[a:b]
+                        name = kind, canonical(kind, text[a:b])
                         new = other.get(name) or known.get(name) or surrogate(*name, key)
                         if len(known) > 50_000:
                             known.clear()  # only saves work
@@ -355,4 +415,4 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], names=[*names, "n_entities"])
 
-    return rows.withColumn("raw_text", F.col("text").cast("binary")).drop("text").withColumn("text", F.lit(None).cast("string")).mapInArrow(work, out)
+    return rows.withColumn(raw, F.col("text").cast("binary")).drop("text").withColumn("text", F.lit(None).cast("string")).mapInArrow(work, out)
