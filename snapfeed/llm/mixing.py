@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, cut_counted, in_batches, n_words
+from .common import cut, cut_counted, free, in_batches, n_words
 
 #: Weights by the code point order of the sources (null last), repeating.
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -242,17 +242,18 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     new = ["size", "source_size", "target", "copies", "taken"]
     taken = mix_sources(docs, **options)
-    by = Window.partitionBy("m_id", "m_key")
+    names = [name for name in docs.columns if name.lower() not in new]
+    m_id, m_key, m_no = free(names, "m_id", "m_key", "m_no")
+    by = Window.partitionBy(m_id, m_key)
     right = (
-        taken.select(F.col("doc_id").alias("m_id"), F.col("key").alias("m_key"), *new)
-        .withColumn("m_no", F.row_number().over(by.orderBy("copies")))
+        taken.select(F.col("doc_id").alias(m_id), F.col("key").alias(m_key), *new)
+        .withColumn(m_no, F.row_number().over(by.orderBy("copies")))
     )
-    names = [name for name in docs.columns if name.lower() not in new]
     left = (
         docs.select(*names)
-        .withColumn("m_id", F.col("doc_id").cast("long"))
-        .withColumn("m_key", F.xxhash64("doc_id", "source", "text"))
-        .withColumn("m_no", F.row_number().over(by.orderBy(F.lit(1))))
+        .withColumn(m_id, F.col("doc_id").cast("long"))
+        .withColumn(m_key, F.xxhash64("doc_id", "source", "text"))
+        .withColumn(m_no, F.row_number().over(by.orderBy(F.lit(1))))
     )
-    same = (left["m_key"] == right["m_key"]) & (left["m_no"] == right["m_no"]) & left["m_id"].eqNullSafe(right["m_id"])
+    same = (left[m_key] == right[m_key]) & (left[m_no] == right[m_no]) & left[m_id].eqNullSafe(right[m_id])
     return left.join(right, same).where("copies > 0").select(*(left[x] for x in names), *new)
