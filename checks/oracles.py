@@ -300,10 +300,10 @@ ORACLES = {
         from tried t join feed on t.path = feed.path and t.snapshot = feed.snapshot""",
     ),
     "compact_log": sql_over(
-        "commit_log",
+        "document_commits",
         body="""
         select app, kind, scope, version, max(snapshot) + case when version = 1 then 1 else 0 end as snapshot
-        from commit_log group by app, kind, scope, version""",
+        from document_commits group by app, kind, scope, version""",
     ),
     "steady_predicates": sql_over(
         "file_index",

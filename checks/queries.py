@@ -362,11 +362,18 @@ def stream_snapshots(spark, sf_dir):
 
 
 def _in_pieces(spark, sf_dir):
-    """The texts as files on storage, read in pieces of 4 KB."""
-    root = scratch_dir(spark, "files")
-    write_files(view(spark, sf_dir, "file_content"), root)
-    opened = sf.open_changed_files(full_feed(spark, sf_dir), root, partitions=8, piece_bytes=4096)
-    return stored(opened, "pieces")
+    """The feed with its texts in pieces of 4,096 characters, wherever that cuts them."""
+    content = view(spark, sf_dir, "file_content")
+    files = sf.balanced_join(full_feed(spark, sf_dir), content, "path", "inner")
+    pieces = F.regexp_extract_all("content", F.lit("(?s).{1,4096}"), F.lit(0))
+    cut = files.withColumn("pieces", F.when(F.col("content") == "", F.array(F.lit(""))).otherwise(pieces)).drop("content")
+    cut = cut.withColumn("lines", F.transform("pieces", lambda piece: F.regexp_count(piece, F.lit("\n")).cast("long")))
+    cut = cut.select("*", F.posexplode("pieces").alias("piece_no", "content"), F.size("pieces").alias("n")).drop("pieces")
+    before = F.aggregate(F.slice("lines", F.lit(1), F.col("piece_no")), F.lit(0).cast("long"), lambda total, n: total + n)
+    return cut.select(
+        "path", "snapshot", "change_types", "piece_no", before.alias("first_line"),
+        (F.col("piece_no") < F.col("n") - 1).alias("more"), "content", F.lit(None).cast("string").alias("error"),
+    )
 
 
 def chunk_pieces(spark, sf_dir):
@@ -387,10 +394,7 @@ def retry_failed(spark, sf_dir):
     table = sf.IndexTable(spark, scratch_dir(spark, "index"))
     log = sf.CheckpointLog(spark, scratch_dir(spark, "checkpoints"))
     failures = sf.FailureLedger(spark, scratch_dir(spark, "failures"))
-    before = view(spark, sf_dir, "stored_files")
-    mended = F.when(F.col("path").like("/ifs/data/en/%"), F.col("text"))
-    whole = view(spark, sf_dir, "file_content").select("path", F.col("content").alias("text"))
-    after = before.join(whole, "path").select("path", F.coalesce("content", mended).alias("content"))
+    before, after = (view(spark, sf_dir, name) for name in ("stored_files", "mended_files"))
     for new, content in (("s2 <= 6", before), ("s2 > 6", after)):
         table.append(entries.where(new))
         loader = sf.ContentLoader(table, log, "/ifs/data", content=content, failures=failures)
@@ -403,7 +407,7 @@ def retry_failed(spark, sf_dir):
 
 def compact_log(spark, sf_dir):
     """A long log in the older form, brought down in place while commits go on."""
-    commits = view(spark, sf_dir, "commit_log")
+    commits = view(spark, sf_dir, "document_commits")
     path = scratch_dir(spark, "checkpoints")
     commits.write.parquet(f"{path}/commit=0")
     log = sf.CheckpointLog(spark, path)

@@ -74,6 +74,18 @@ VIEWS = {
                    || lang || '/' || source || '/doc' || cast(doc_id as string) || '.txt' as path,
                case when text like '%@%' then null else text end as content
         from {documents}""",
+    # The same after the English ones have been mended.
+    "mended_files": """
+        select case when doc_id % 17 = 0 then '/ifs/archive/' else '/ifs/data/' end
+                   || lang || '/' || source || '/doc' || cast(doc_id as string) || '.txt' as path,
+               case when text like '%@%' and (lang <> 'en' or doc_id % 17 = 0) then null else text end as content
+        from {documents}""",
+    # Commits of a few applications, one per document.
+    "document_commits": """
+        select 'app_' || cast(doc_id % 5 as string) as app, 'folder_paths' as kind,
+               '/ifs/data/' || lang as scope, cast(1 + doc_id % 3 as int) as version,
+               (doc_id * 7) % 1009 as snapshot
+        from {documents}""",
     # Commits of several applications, versions and scopes, in no order.
     "commit_log": """
         select 'app_' || cast(user_id % 5 as string) as app,

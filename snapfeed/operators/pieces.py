@@ -21,8 +21,8 @@ from ..sources.files import PIECE_COLUMNS
 from .chunks import CHUNK_MAX_CHARS, CHUNK_OVERLAP, CHUNK_WORDS, capped, check_sizes, chunk_words
 from .content import document_rows, element_rows, split_elements
 
-# Characters of a document that is put together from pieces; a cell holds no more bytes than 2 GiB.
-MOST_CHARS = 1 << 29
+# Files with errors that are listed to every task; beyond it the list is joined by a shuffle.
+LISTED = 1_000_000
 
 
 def _others(read: DataFrame) -> list[str]:
@@ -35,47 +35,44 @@ def _whole(read: DataFrame) -> DataFrame:
 
 
 def _parts(read: DataFrame) -> DataFrame:
-    """Pieces of the other files, equal ones once with their number of ``copies``."""
-    row = F.struct(*_others(read))
-    rows = read.where("piece_no > 0 or more").withColumn("row", row)
-    rows = rows.withColumn("doc", F.sha2(F.to_json("row", {"ignoreNullFields": "false"}), 256))
-    kept = ("row", "content", "first_line", "more", "error")
-    return rows.groupBy("doc", "piece_no").agg(*(F.first(x).alias(x) for x in kept), F.count(F.lit(1)).alias("copies"))
+    """Pieces of the other files, with the rest of their ``row`` and a hash of it, ``doc``."""
+    rows = read.where("piece_no > 0 or more").withColumn("row", F.struct(*_others(read)))
+    doc = F.sha2(F.to_json("row", {"ignoreNullFields": "false"}), 256)
+    return rows.select(doc.alias("doc"), "row", *PIECE_COLUMNS)
 
 
 def _good(parts: DataFrame) -> DataFrame:
     """Pieces of files that were read to their end."""
     bad = parts.where("error is not null").select("doc").distinct()
-    return parts.join(bad, "doc", "left_anti")
-
-
-def _one_by_one(df: DataFrame) -> DataFrame:
-    """Rows as often as their file is in the feed."""
-    return df.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copy", "copies")
+    n = bad.count()  # of errors alone, so no text is read
+    if not n:
+        return parts
+    return parts.join(F.broadcast(bad) if n <= LISTED else bad, "doc", "left_anti")
 
 
 def _together(parts: DataFrame, keys: list[str], text: str, glue: Column) -> DataFrame:
-    """``text`` of the rows that share the keys, in the order of their pieces, with ``glue`` before each but the first."""
-    listed = F.sort_array(F.collect_list(F.struct("piece_no", glue.alias("glue"), text)))
-    found = parts.groupBy(*keys).agg(F.first("row").alias("row"), F.first("copies").alias("copies"), listed.alias("listed"))
+    """``text`` of the rows that share the keys, in the order of their pieces, with ``glue`` before each but the first.
+
+    A file that is in the feed several times has its parts several times: each is
+    taken once, and the result is repeated.
+    """
+    one = F.struct("piece_no", glue.alias("glue"), text)
+    listed = F.sort_array(F.collect_set(one))
+    found = parts.groupBy(*keys).agg(F.first("row").alias("row"), listed.alias("listed"), F.count(F.lit(1)).alias("n"))
     pieces = F.transform("listed", lambda x, i: F.concat(F.when(i == 0, "").otherwise(x["glue"]), x[text]))
-    return found.withColumn(text, F.array_join(pieces, "")).drop("listed")
+    copies = (F.col("n") / F.size("listed")).cast("int")
+    found = found.withColumn(text, F.array_join(pieces, ""))
+    return found.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy", "listed", "n")
 
 
 def whole_documents(read: DataFrame) -> DataFrame:
-    """One document per file, whatever its size.
+    """One document per file; its pieces are put together.
 
-    Pieces of a file are put together; beyond ``MOST_CHARS`` characters, which no
-    cell could hold, that is an error. Elements and chunks have no such limit.
+    A file beyond what one cell of Spark holds (2 GiB) is an error here. Elements
+    and chunks have no such limit.
     """
-    parts = _good(_parts(read))
-    size = F.sum(F.length("content")).over(Window.partitionBy("doc"))
-    fits = parts.withColumn("content", F.when(size <= MOST_CHARS, F.col("content")).otherwise(
-        F.raise_error(F.concat(F.lit("no cell holds the whole file: "), F.col("row.path"))).cast("string")
-    ))
-    joined = _one_by_one(_together(fits, ["doc"], "content", F.lit(""))).select("row.*", "content")
-    names = [*_others(read), "content"]
-    return document_rows(_whole(read).select(*names).unionByName(joined))
+    joined = _together(_good(_parts(read)), ["doc"], "content", F.lit("")).select("row.*", "content")
+    return document_rows(_whole(read).select(*_others(read), "content").unionByName(joined))
 
 
 def element_pieces(read: DataFrame) -> DataFrame:
@@ -83,15 +80,14 @@ def element_pieces(read: DataFrame) -> DataFrame:
 
     A line that goes on in the next piece is put together from its parts.
     """
-    parts = _good(_parts(read))
-    lines = parts.withColumn("lines", F.split("content", "\n"))
+    lines = _good(_parts(read)).withColumn("lines", F.split("content", "\n"))
     place = F.posexplode("lines").alias("at", "line")
-    lines = lines.select("doc", "piece_no", "row", "copies", "more", "first_line", F.size("lines").alias("n"), place)
+    lines = lines.select("doc", "piece_no", "row", "more", "first_line", F.size("lines").alias("n"), place)
     lines = lines.withColumn("element_no", (F.col("first_line") + F.col("at")).cast("int"))
     cut = (F.col("at") == 0) & (F.col("piece_no") > 0) | (F.col("at") == F.col("n") - 1) & F.col("more")
-    names = ("row", "copies", "element_no", "line")
+    names = ("row", "element_no", "line")
     joined = _together(lines.where(cut), ["doc", "element_no"], "line", F.lit("")).select(*names)
-    found = _one_by_one(lines.where(~cut).select(*names).unionByName(joined))
+    found = lines.where(~cut).select(*names).unionByName(joined)
     metadata = F.struct(F.col("row.path").alias("source"), F.col("row.snapshot").alias("snapshot"), F.col("row.change_types").alias("change_types"))
     whole = split_elements(document_rows(_whole(read)))
     return whole.unionByName(element_rows(found.select(metadata.alias("metadata"), "element_no", "line")))
@@ -113,23 +109,26 @@ def chunk_pieces(
     check_sizes(size, overlap, max_chars)
     stride = size - overlap
     names = _others(read)
-    parts = _good(_parts(read)).where("content <> ''")
-    words = parts.withColumn("words", split_words(F.col("content")))
+    parts = _parts(read).where("content <> '' or error is not null")
 
     blank = list(BLANKS)
     inside = {"starts": F.left("content", F.lit(1)), "ends": F.right("content", F.lit(1))}
-    own = words.select(
-        "doc", "piece_no", F.size("words").cast("long").alias("n"),
-        *((~x.isin(*blank, "")).alias(name) for name, x in inside.items()),
-    )
+    own = parts.select(
+        "doc", "piece_no", "error", F.size(split_words(F.col("content"))).cast("long").alias("n"),
+        *((~x.isin(*blank)).alias(name) for name, x in inside.items()),
+    ).distinct()
     before = Window.partitionBy("doc").orderBy("piece_no")
     all_of = Window.partitionBy("doc")
+    own = own.withColumn("bad", F.max(F.col("error").isNotNull()).over(all_of)).where(~F.col("bad"))
     own = own.withColumn("joined", F.coalesce(F.lag("ends").over(before) & F.col("starts"), F.lit(False)))
     own = own.withColumn("goes_on", F.coalesce(F.lead("starts").over(before) & F.col("ends"), F.lit(False)))
     new = F.col("n") - F.col("joined").cast("long")  # a word cut by the border counts where it begins
     own = own.withColumn("first", F.sum(new).over(before) - F.col("n")).withColumn("total", F.sum(new).over(all_of))
 
-    both = words.drop("content").join(own.drop("starts", "ends"), ["doc", "piece_no"])
+    # the texts are sent once, and are cut into words where they arrive
+    place = own.select("doc", "piece_no", "joined", "goes_on", "first", "total")
+    both = parts.select("doc", "piece_no", "row", "content").join(place, ["doc", "piece_no"])
+    both = both.withColumn("words", split_words(F.col("content"))).drop("content").withColumn("n", F.size("words").cast("long"))
     last = F.ceil(F.greatest(F.col("total") - size, F.lit(0)) / stride).cast("long")
     from_no = F.greatest(F.lit(0).cast("long"), F.ceil((F.col("first") - size + 1) / stride).cast("long"))
     to_no = F.least(last, F.floor((F.col("first") + F.col("n") - 1) / stride).cast("long"))
@@ -146,11 +145,11 @@ def chunk_pieces(
         & ~glued
         & ~(F.col("goes_on") & (F.col("end") == F.col("n")))
     )
-    kept = ("doc", "piece_no", "row", "copies", "chunk_no")
+    kept = ("doc", "piece_no", "row", "chunk_no")
     spread = spread.select(*kept, had.alias("text"), glued.alias("glued"), whole.alias("whole"))
     joined = _together(spread.where(~F.col("whole")), ["doc", "chunk_no"], "text", F.when(F.col("glued"), "").otherwise(" "))
-    columns = ("row", "copies", "chunk_no", "text")
-    found = _one_by_one(spread.where("whole").select(*columns).unionByName(joined.select(*columns)))
+    columns = ("row", "chunk_no", "text")
+    found = spread.where("whole").select(*columns).unionByName(joined.select(*columns))
     chunks = found.select("row.*", F.col("chunk_no").cast("int").alias("chunk_no"), F.col("text").alias("_chunk"))
     uncut = chunk_words(_whole(read).select(*names, "content"), size, overlap, max_chars, text="content")
     return uncut.unionByName(capped(chunks, names, max_chars))
