@@ -35,8 +35,8 @@ def run_cost(spark: SparkSession) -> dict[str, float]:
     """One run over everything against one over the last hundredth of the snapshots.
 
     The index is derived from ``lineitem``, one snapshot per ship date and eight
-    entries per row, in eight periods one after another. It is laid out by
-    ``write_index``; laying it out is not timed.
+    entries per row, in eight periods one after another. It is an ``IndexTable``;
+    writing it is not timed.
     """
     path = scratch_dir(spark, "bench-index")
     index = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").selectExpr(
@@ -48,8 +48,8 @@ def run_cost(spark: SparkSession) -> dict[str, float]:
         "cast(datediff(l_shipdate, date '1990-01-01') + 5000 * period as bigint) as s2",
         "array('ENTRY_ADDED') as change_types",
     )
-    sf.write_index(index, path, partitions=64)
-    stored = sf.read_index(spark, path, nested=False)
+    sf.IndexTable(spark, path).append(index, partitions=64)
+    stored = sf.IndexTable(spark, path).read()
     first, last = stored.selectExpr("min(s2)", "max(s2)").first()
     log = sf.CheckpointLog(spark, scratch_dir(spark, "bench-log"))
     scope = sf.FolderScope("/ifs/data")
@@ -58,7 +58,7 @@ def run_cost(spark: SparkSession) -> dict[str, float]:
 
     def run(app: str) -> float:
         start = time.perf_counter()
-        changes = sf.IncrementalRun(sf.read_index(spark, path, nested=False), log, scope, app=app)
+        changes = sf.IncrementalRun(sf.IndexTable(spark, path), log, scope, app=app)
         changes.changes().write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
