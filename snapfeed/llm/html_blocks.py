@@ -19,6 +19,9 @@ _CLOSES_P = frozenset("p div ul ol dl table h1 h2 h3 h4 h5 h6 article section as
 
 _OPEN = re.compile(r"([A-Za-z][^\s/>]*)(.*)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# The rest of a tag up to its end: a quoted value may hold the sign; a quote that
+# never closes is an ordinary character. What a part has taken is not tried again.
+_TAG_END = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>")
 _TOKEN = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _ENDS = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in OPAQUE}
@@ -49,7 +52,7 @@ def leaf_blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
     """Blocks with text, in page order. Only ``known`` ancestor features are kept, if given.
 
     Every character is looked at a bounded number of times, also where tags,
-    comments or scripts are not closed.
+    quotes, comments or scripts are not closed.
     """
     blocks: list[Block] = []
     stack: list[tuple[str, frozenset[str]]] = [("", frozenset())]
@@ -57,6 +60,7 @@ def leaf_blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
     parts: list[str] = []
     linked, in_link = 0, False
     at, size = 0, len(page)
+    quotes = True
 
     def flush() -> None:
         nonlocal linked
@@ -91,6 +95,10 @@ def leaf_blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
         end = page.find(">", start)
         if end < 0:
             break  # the rest is a tag that never ends
+        if quotes and follows not in ("!", "?") and (page.find('"', start, end) >= 0 or page.find("'", start, end) >= 0):
+            whole = _TAG_END.match(page, start)
+            quotes = whole is not None  # else they do not pair up to the end of the page
+            end = whole.end() - 1 if whole else end
         inner = page[start + 1 : end]
         at = end + 1
         closing = inner.startswith("/")

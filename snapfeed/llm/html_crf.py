@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks as row_blocks
+from .common import free
 from .html_blocks import Block, leaf_blocks
 from .html_labelled import labelled_pages
 
@@ -144,17 +145,18 @@ def extract_text(pages: DataFrame, crf: Field | None = None, column: str = "html
     replaced; an empty table gives an empty one.
     """
     sent = pages.sparkSession.sparkContext.broadcast(crf or default_field())
-    names = [name for name in pages.columns if name.lower() not in (column, "text", "n_chars")]
+    names = [name for name in pages.columns if name.lower() not in (column.lower(), "text", "n_chars")]
+    (raw_html,) = free(names, "raw_html")
     schema = pages.select(*names).schema.add("text", "string").add("n_chars", "long")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         known = model.known()
         for batch in batches:
-            for block in row_blocks(batch, "raw_html"):
+            for block in row_blocks(batch, raw_html):
                 texts = [
                     main_text(raw.decode("utf-8", "replace"), model, known) if raw else ""
-                    for raw in block.column("raw_html").to_pylist()
+                    for raw in block.column(raw_html).to_pylist()
                 ]
                 columns = [block.column(name) for name in names]
                 sizes = pa.array([len(text) for text in texts], pa.int64())
@@ -162,4 +164,4 @@ def extract_text(pages: DataFrame, crf: Field | None = None, column: str = "html
                     [*columns, pa.array(texts, pa.string()), sizes], names=[*names, "text", "n_chars"]
                 )
 
-    return pages.select(*names, F.col(column).cast("binary").alias("raw_html")).mapInArrow(work, schema)
+    return pages.select(*names, F.col(column).cast("binary").alias(raw_html)).mapInArrow(work, schema)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import free
+
 #: (action, host, path) of the production rules.
 RULES = (
     ("allow", "org", "/"),
@@ -48,11 +50,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     rule with a null part is left out.
 
     Each distinct url is expanded into the suffixes of its host that begin at a
-    label and the prefixes of its path that have the length of some rule's path.
+    label and have as many labels as some rule's host, and the prefixes of its
+    path that have the length of some rule's path; so a url gives no more
+    expressions than the rules have sizes, however long it is.
     The expressions are joined with the rules on the first ``SHORT`` digits of
     their digests, and a match counts when the full digests agree. Null urls and
     urls without ``://`` have an empty host and path, fit no rule and get
-    ``default``. Columns of ``pages`` with the names of the new ones are replaced.
+    ``default``. Columns of ``pages`` with the names of the new ones are replaced;
+    repeated rows stay, an empty table gives an empty one.
     """
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     listed = (
@@ -63,48 +68,38 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         .withColumn("r_digest", _digest(F.col("r_host"), F.col("r_path")))
         .withColumn("short", F.substring("r_digest", 1, SHORT))
     )
-    # one number per distinct length of a rule's path, however many rules there are
-    lengths = sorted(row[0] for row in listed.select(F.length("r_path")).distinct().collect())
-    lengths = F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>")
+    # one pair per number of labels and length of path that some rule has, however many rules there are
+    size = F.struct(F.size(F.split("r_host", r"\.")).alias("labels"), F.length("r_path").alias("n"))
+    sizes = sorted(row[0] for row in listed.select(size).distinct().collect())
+    sizes = F.array(*(F.struct(F.lit(labels).alias("labels"), F.lit(n).alias("n")) for labels, n in sizes))
+    sizes = sizes.cast("array<struct<labels:int,n:int>>")
     addresses = pages.select(F.col(url).alias("u_url")).distinct().where("instr(u_url, '://') > 0")
     addresses = addresses.select("u_url", host_of(F.col("u_url")).alias("u_host"), path_of(F.col("u_url")).alias("u_path"))
-    labels = F.split("u_host", r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
-    expanded = (
-        addresses.select("u_url", F.explode(suffixes).alias("e_host"), "u_path")
-        .select(
-            "u_url",
-            "e_host",
-            F.explode(F.filter(lengths, lambda n: n <= F.length("u_path"))).alias("n"),
-            "u_path",
-        )
-        .select("u_url", _digest(F.col("e_host"), F.expr("substring(u_path, 1, n)")).alias("digest"))
-        .withColumn("short", F.substring("digest", 1, SHORT))
-    )
+    addresses = addresses.withColumn("u_labels", F.split("u_host", r"\."))
+    fitting = F.filter(sizes, lambda s: (s["labels"] <= F.size("u_labels")) & (s["n"] <= F.length("u_path")))
+    expanded = addresses.select("u_url", "u_labels", "u_path", F.inline(fitting))
+    suffix = F.array_join(F.slice("u_labels", -F.col("labels"), F.col("labels")), ".")
+    expanded = expanded.select(
+        "u_url", _digest(suffix, F.expr("substring(u_path, 1, n)")).alias("digest")
+    ).withColumn("short", F.substring("digest", 1, SHORT))
     length = F.length("r_host") + F.length("r_path")
     best = F.max_by(
         F.struct("action", F.concat("r_host", "r_path").alias("rule")),
         F.struct(length, F.length("r_host")),
     )
+    kept = [name for name in pages.columns if name.lower() not in ("host", "path", "rule", "verdict")]
+    u_url, u_rule, u_verdict = free(pages.columns, "u_url", "u_rule", "u_verdict")
     found = (
         expanded.join(listed, "short")
         .where("digest = r_digest")
         .groupBy("u_url")
         .agg(best.alias("best"))
-        .select("u_url", F.col("best.rule").alias("rule"), F.col("best.action").alias("u_verdict"))
+        .select(F.col("u_url").alias(u_url), F.col("best.rule").alias(u_rule), F.col("best.action").alias(u_verdict))
     )
-    kept = [name for name in pages.columns if name.lower() not in ("host", "path", "rule", "verdict", "u_url")]
-    return (
-        pages.select(*kept)
-        .join(found, F.col(url) == F.col("u_url"), "left")
-        .select(
-            *kept,
-            host_of(F.col(url)).alias("host"),
-            path_of(F.col(url)).alias("path"),
-            "rule",
-            F.coalesce("u_verdict", F.lit(default)).alias("verdict"),
-        )
+    return pages.join(found, F.col(url) == F.col(u_url), "left").select(
+        *kept,
+        host_of(F.col(url)).alias("host"),
+        path_of(F.col(url)).alias("path"),
+        F.col(u_rule).alias("rule"),
+        F.coalesce(u_verdict, F.lit(default)).alias("verdict"),
     )

@@ -1,13 +1,17 @@
 """Inputs that once failed or never ended: full forms, long items, clashing names."""
 
 import re
+import time
 
 import pytest
 
 from snapfeed.llm import pii
 from snapfeed.llm.common import free, without
 from snapfeed.llm.decontam import fingerprint, judge_contamination
+from snapfeed.llm.html_blocks import leaf_blocks
+from snapfeed.llm.html_crf import Field, extract_text
 from snapfeed.llm.mixing import mixed_documents
+from snapfeed.llm.urls import judge_urls
 
 
 def texts(spark, *rows):
@@ -79,3 +83,57 @@ def test_clashing_names(spark, name):
     replaced = pii.replace_entities(docs, "k")
     assert replaced.columns == [*docs.columns, "n_entities"]
     assert sorted((row[name] or "", row.n_entities) for row in replaced.collect()) == [("", 0), ("x", 1), ("y", 0)]
+
+
+def test_hosts_of_many_labels(spark):
+    """40,000 labels: only suffixes of a rule's number of labels are made."""
+    host = "a." * 40_000 + "com"
+    pages = spark.createDataFrame([(1, f"http://{host}/de/x"), (2, f"http://b.{host}./de/"), (3, "x://" + "." * 50_000)], "page_id long, url string")
+    rules = spark.createDataFrame([("block", "a.com", "/de/"), ("block", "com", "/"), ("block", "", "")], "action string, host string, path string")
+    judge_urls(pages.limit(1), rules).count()
+    start = time.time()
+    got = {row.page_id: row.rule for row in judge_urls(pages, rules).collect()}
+    assert got == {1: "a.com/de/", 2: "", 3: ""}
+    assert time.time() - start < 20
+
+
+@pytest.mark.parametrize("name", ["u_url", "U_RULE", "u_verdict", "short", "digest", "best", "labels", "n"])
+def test_urls_with_clashing_names(spark, name):
+    rows = [(1, "http://x.com/de/", "a"), (2, None, "b"), (1, "http://x.com/de/", "a")]
+    pages = spark.createDataFrame(rows, f"page_id long, url string, {name} string")
+    rules = spark.createDataFrame([("block", "com", "/de/")], "action string, host string, path string")
+    got = judge_urls(pages, rules)
+    assert got.columns == ["page_id", "url", name, "host", "path", "rule", "verdict"]
+    assert sorted((row[name], row.verdict) for row in got.collect()) == [("a", "block"), ("a", "block"), ("b", "allow")]
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ('<p title="a > b">Hello world</p>', ["Hello world"]),
+        ('<p data-x="</p>">hey</p>', ["hey"]),
+        ("<p data-x = '<b>\"</b>' id=x>one</p><p>two</p >", ["one", "two"]),
+        ("<script data-x='a > b'>var x</script>text", ["text"]),
+        ("<p>it's a <a title=\"1 > 0\">link</a> isn't it</p>", ["it's a link isn't it"]),
+        ('<p title="never closed>one</p><p>two</p>', ["one", "two"]),
+        ("<p a=b\">one</p>", ["one"]),
+    ],
+)
+def test_quoted_signs(page, texts):
+    assert [block.text for block in leaf_blocks(page)] == texts
+
+
+def test_quotes_take_linear_time():
+    start = time.time()
+    for broken in ('<p a=">" ', "<p a=\"'>", "<p a=' ", '<p a="<p>"=', '="', "<p ='\"> "):
+        leaf_blocks("<p>" + broken * 200_000)
+    assert time.time() - start < 20
+
+
+@pytest.mark.parametrize("name", ["raw_html", "RAW_HTML", "tag"])
+def test_pages_with_clashing_names(spark, name):
+    field = Field({}, [[0.0, 0.0], [0.0, 0.0]])
+    pages = spark.createDataFrame([(1, "<p>x</p>", "a"), (2, None, "b")], f"page_id long, html string, {name} string")
+    got = extract_text(pages, field)
+    assert got.columns == ["page_id", name, "text", "n_chars"]
+    assert sorted(row[name] for row in got.collect()) == ["a", "b"]
