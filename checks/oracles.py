@@ -229,6 +229,12 @@ ORACLES = {
         OUTCOMES.replace("content is not null as ok,", "content is not null as ok, length(content) as n_chars,"),
     ),
     "open_files": over_feed("file_content", DOCUMENTS),
+    "packed_files": over_feed(
+        "stored_files",
+        "select path, snapshot, case when stored_files.path is null then null "
+        "when content is null then 1 else strlen(content) end::bigint as size, true as fits, "
+        "length(content) as n_chars from feed left join stored_files using (path)",
+    ),
     "load_elements": over_feed("file_content", ELEMENTS + "select * from elements"),
     "missing_files": over_feed(
         "file_content",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import snapfeed as sf
 from snapfeed.scratch import scratch_dir, stored
 from snapfeed.sources.files import file_uri
+from snapfeed.sources.packing import OPEN_BYTES
 
 from .views import STEADY, definitions, table, view
 
@@ -248,6 +249,21 @@ def loaded_outcomes(spark, sf_dir):
     return loader.outcomes().join(documents, ["path", "snapshot"], "left")
 
 
+def packed_files(spark, sf_dir):
+    """Files on storage dealt out by bytes, each with its size, what was read of it, and whether its task is small enough."""
+    root = scratch_dir(spark, "files")
+    write_files(view(spark, sf_dir, "stored_files"), root)
+    feed = full_feed(spark, sf_dir)
+    limit = 16 << 20
+    packed, _ = sf.packed_files(feed, root, limit)
+    load = F.sum(F.coalesce("size", F.lit(0)) + OPEN_BYTES)
+    tasks = packed.groupBy("task").agg(((load <= limit) | (F.count("*") == 1)).alias("fits"))
+    opened = sf.open_changed_files(feed, root, task_bytes=limit)
+    read = opened.select("path", "snapshot", F.length("content").cast("long").alias("n_chars"))
+    sizes = packed.join(tasks, "task").select("path", "snapshot", "size", "fits")
+    return sizes.join(read, ["path", "snapshot"])
+
+
 def write_files(content: DataFrame, root: str) -> None:
     """A file per row; without content, one that is not text."""
     uri = file_uri(root)
@@ -468,6 +484,7 @@ QUERIES = {
         load_elements,
         open_files,
         loaded_outcomes,
+        packed_files,
         missing_files,
         present_files,
         outcomes,

@@ -3,7 +3,7 @@
 from .checkpoints import CheckpointLog, current_checkpoints, last_snapshot, last_snapshot_row
 from .datasets import dataset_predicate
 from .failures import FailureLedger
-from .files import open_changed_files
+from .files import open_changed_files, packed_files
 from .index import flatten_index, nest_index, read_index, recorded_high, write_index
 from .manifest import IndexTable
 
@@ -18,6 +18,7 @@ __all__ = [
     "last_snapshot_row",
     "nest_index",
     "open_changed_files",
+    "packed_files",
     "read_index",
     "recorded_high",
     "write_index",
