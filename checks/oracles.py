@@ -229,6 +229,7 @@ ORACLES = {
         OUTCOMES.replace("content is not null as ok,", "content is not null as ok, length(content) as n_chars,"),
     ),
     "open_files": over_feed("file_content", DOCUMENTS),
+    "bucketed_content": over_feed("file_content", DOCUMENTS),
     "packed_files": over_feed(
         "stored_files",
         "select path, snapshot, case when stored_files.path is null then null "

@@ -249,6 +249,15 @@ def loaded_outcomes(spark, sf_dir):
     return loader.outcomes().join(documents, ["path", "snapshot"], "left")
 
 
+def bucketed_content(spark, sf_dir):
+    """Documents of a full run over content in buckets, of which nothing is shuffled."""
+    table = sf.ContentTable(spark, scratch_dir(spark, "content"))
+    content = view(spark, sf_dir, "file_content")
+    table.write(content.where("path like '/ifs/data/en/%'"), buckets=16)
+    table.write(content.where("path not like '/ifs/data/en/%'"))
+    return flat_documents(sf.document_rows(table.join(full_feed(spark, sf_dir), broadcast_bytes=0)))
+
+
 def packed_files(spark, sf_dir):
     """Files on storage dealt out by bytes, each with its size, what was read of it, and whether its task is small enough."""
     root = scratch_dir(spark, "files")
@@ -485,6 +494,7 @@ QUERIES = {
         open_files,
         loaded_outcomes,
         packed_files,
+        bucketed_content,
         missing_files,
         present_files,
         outcomes,

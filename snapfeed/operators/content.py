@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..balance import balanced_join
 from ..functions.text import element_category, page_text, trim_line
 from ..scratch import stored
+from ..sources.content_table import ContentTable
 from ..sources.files import MISSING, UNREADABLE
 
 
@@ -41,13 +42,19 @@ def outcome_rows(read: DataFrame) -> DataFrame:
     return last.select("path", "snapshot", F.col("error").isNull().alias("ok"), "error")
 
 
-def load_documents(feed: DataFrame, content: DataFrame) -> DataFrame:
-    """One document per changed file, the whole file as its content."""
+def load_documents(feed: DataFrame, content: DataFrame | ContentTable) -> DataFrame:
+    """One document per changed file, the whole file as its content.
+
+    A :class:`snapfeed.sources.ContentTable` is read where it lies, any other
+    table as it comes.
+    """
+    if isinstance(content, ContentTable):
+        return document_rows(content.join(feed))
     readable = content.where(F.col("content").isNotNull()).select("path", "content")
     return document_rows(balanced_join(feed, readable, "path", "inner"))
 
 
-def load_elements(feed: DataFrame, content: DataFrame) -> DataFrame:
+def load_elements(feed: DataFrame, content: DataFrame | ContentTable) -> DataFrame:
     """One document per element of each changed file."""
     return split_elements(load_documents(feed, content))
 
@@ -77,7 +84,7 @@ def element_rows(lines: DataFrame) -> DataFrame:
     )
 
 
-def outcomes(feed: DataFrame, content: DataFrame) -> DataFrame:
+def outcomes(feed: DataFrame, content: DataFrame | ContentTable) -> DataFrame:
     """One row per changed file: ``path, snapshot, ok, error``.
 
     A file can be read if its path has more rows than rows without content. Both
@@ -85,6 +92,7 @@ def outcomes(feed: DataFrame, content: DataFrame) -> DataFrame:
     that have nulls at all. No text is read where all files are fine, and none
     crosses the network.
     """
+    content = content.read() if isinstance(content, ContentTable) else content
     rows = content.select("path", F.lit(1).alias("n"))
     empty = content.where(F.col("content").isNull()).select("path", F.lit(-1).alias("n"))
     readable = rows.union(empty).groupBy("path").agg((F.sum("n") > 0).alias("readable"))

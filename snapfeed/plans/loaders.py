@@ -23,6 +23,7 @@ from ..operators.scope import make_scope
 from ..sources.checkpoints import CheckpointLog
 from ..scratch import stored
 from ..sources.failures import FailureLedger
+from ..sources.content_table import ContentTable
 from ..sources.files import open_changed_files
 from ..sources.manifest import IndexTable
 from .run import DEFAULT_APP, DEFAULT_VERSION, IncrementalRun, consumed
@@ -106,7 +107,7 @@ class ContentLoader(PathLoader):
     def __init__(
         self,
         *args,
-        content: DataFrame | None = None,
+        content: DataFrame | ContentTable | None = None,
         root: str = "",
         mode: str = "single",
         partitions: int | None = None,

@@ -1,6 +1,7 @@
 """Readers and writers: file index, dataset definitions, checkpoints, file content."""
 
 from .checkpoints import CheckpointLog, current_checkpoints, last_snapshot, last_snapshot_row
+from .content_table import ContentTable
 from .datasets import dataset_predicate
 from .failures import FailureLedger
 from .files import open_changed_files, packed_files
@@ -9,6 +10,7 @@ from .manifest import IndexTable
 
 __all__ = [
     "CheckpointLog",
+    "ContentTable",
     "FailureLedger",
     "IndexTable",
     "current_checkpoints",
