@@ -288,6 +288,15 @@ ORACLES = {
     "manifest_run": over_index(
         f"case when s2 <= 9 then 'first' else 'second' end as run, {FEED}", f"{ENGLISH} and s2 > -1 and {UP_TO_LATEST}"
     ),
+    "phrase_index": sql_over(
+        "path_variants",
+        body="""
+        select phrase, read, lin, path
+        from path_variants,
+             (values ('/ifs/data', true), ('/ifs/data/ifs/da', false)) as p (phrase, first_only),
+             (values ('before'), ('after')) as r (read)
+        where contains(path, phrase) and (not first_only or lin % 3 = 0)""",
+    ),
     "stream_snapshots": over_index(FEED, f"{ENGLISH} and (s2 > 6 or lin % 7 <> 0)"),
     "chunk_pieces": chunks(300, 10, 5000, of_feed=True),
     "element_pieces": over_feed("file_content", ELEMENTS + "select * from elements"),

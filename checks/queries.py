@@ -374,6 +374,23 @@ def manifest_run(spark, sf_dir):
     return joined(found[0].union(found[1]))
 
 
+def phrase_index(spark, sf_dir):
+    """Phrases over a table of two writes, one indexed for phrases and one not; then both."""
+    entries = view(spark, sf_dir, "path_variants").selectExpr(
+        "*", "'regular' as file_type", "lin % 13 as s2", "cast(null as array<string>) as change_types"
+    )
+    table = sf.IndexTable(spark, scratch_dir(spark, "index"))
+    found = []
+    for part, phrase in (("lin % 3 = 0", "/ifs/data"), ("lin % 3 <> 0", "/ifs/data/ifs/da")):
+        table.append(entries.where(part))
+        kept = sf.under_folder(table.read(phrase=phrase), phrase, "phrase")
+        table.index_phrases()
+        again = sf.under_folder(table.read(phrase=phrase), phrase, "phrase")
+        for name, rows in (("before", kept), ("after", again)):
+            found.append(rows.select(F.lit(phrase).alias("phrase"), F.lit(name).alias("read"), "lin", "path"))
+    return reduce(DataFrame.union, found)
+
+
 def stream_snapshots(spark, sf_dir):
     """A stream by snapshots over two writes; what comes late with an old snapshot is passed over."""
     entries = index(spark, sf_dir)
@@ -508,6 +525,7 @@ QUERIES = {
         elements_by_source,
         stream_changes,
         manifest_run,
+        phrase_index,
         stream_snapshots,
         chunk_pieces,
         element_pieces,

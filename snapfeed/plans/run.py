@@ -106,8 +106,10 @@ class IncrementalRun:
         if not isinstance(self.index, IndexTable):
             return self.index
         if low not in self._read:
-            anchored = isinstance(self.scope, FolderScope) and self.scope.mode != "phrase"
-            self._read[low] = self._table.read(low, self.high, self.scope.folder if anchored else "")
+            part = {}
+            if isinstance(self.scope, FolderScope):
+                part["phrase" if self.scope.mode == "phrase" else "prefix"] = self.scope.folder
+            self._read[low] = self._table.read(low, self.high, **part)
         return self._read[low]
 
     def entries(self) -> DataFrame:

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from ..balance import range_sorted
 from ..schema import INDEX_SCHEMA
 from .index import with_change_list
+from .phrases import PAIRS, can_prune, files_with, path_pairs
 from .versions import Store, Versions
 
 # Folders beside the entries; readers of the plain files pass over names with an underscore.
-MANIFEST, SEGMENTS = "_manifest", "_manifest/segments"
+MANIFEST, SEGMENTS, PHRASES = "_manifest", "_manifest/segments", "_manifest/phrases"
 # Seconds to wait for the record of a write that has just ended.
 _WAITS = (0.2, 1.0, 4.0)
 
@@ -82,6 +83,38 @@ class IndexTable:
 
         self._versions.change(extended)
 
+    def index_phrases(self, partitions: int | None = None) -> int:
+        """Let readers of a phrase pass over files without it; how many writes were newly indexed.
+
+        The pairs of neighbouring components in the paths of each file are written
+        beside the record, for all writes that have none yet. Call it after an
+        :meth:`append` when one likes: writes that are not indexed are read whole.
+        """
+        new = [segment for segment in self.segments() if "phrases" not in segment]
+        if not new:
+            return 0
+        names = [name for segment in new for name in segment["names"]]
+        below = "|".join(f"\\Q{name}\\E" for name in names)
+        place = F.regexp_extract(F.col("_metadata.file_path"), f"^.*/((?:{below})(?:/.*)?)$", 1)
+        paths = self._flat([f"{self.path}/{name}" for name in names]).select("path", place.alias("file"))
+        phrases = f"write={uuid.uuid4().hex}"
+        pairs = range_sorted(path_pairs(paths), ["parent", "low"], partitions)
+        pairs.write.parquet(f"{self.path}/{PHRASES}/{phrases}")
+        written = {segment["segment"] for segment in new}
+
+        def marked(state: list[dict] | None) -> list[dict] | None:
+            mine = [s["segment"] in written and "phrases" not in s for s in state]
+            changed = [{**s, "phrases": phrases} if own else s for s, own in zip(state, mine, strict=True)]
+            return changed if any(mine) else None
+
+        self._versions.change(marked)
+        return len(new)
+
+    def _with_phrase(self, phrase: str, writes: set[str]) -> set[str]:
+        """Of the files indexed by some writes of :meth:`index_phrases`, those that can hold a phrase."""
+        pairs = self.spark.read.schema(PAIRS).parquet(*(f"{self.path}/{PHRASES}/{name}" for name in sorted(writes)))
+        return {row.file for row in files_with(pairs, phrase).collect()}
+
     def _flat(self, paths: list[str]) -> DataFrame:
         return self.spark.read.schema(INDEX_SCHEMA).option("recursiveFileLookup", "true").parquet(*paths)
 
@@ -109,22 +142,31 @@ class IndexTable:
         """Highest snapshot, -1 if there is none."""
         return max((s["high_s2"] for s in self.segments() if s["high_s2"] is not None), default=-1)
 
-    def files(self, low: int | None = None, high: int | None = None, prefix: str = "") -> list[str]:
-        """Files that can hold entries with ``low < s2 <= high`` and paths that begin with ``prefix``."""
-
+    def files(
+        self, low: int | None = None, high: int | None = None, prefix: str = "", phrase: str = ""
+    ) -> list[str]:
+        """Files that can hold entries with ``low < s2 <= high`` and paths that begin with ``prefix``.
+
+        With ``phrase`` also those alone whose paths can hold that text, as far as
+        :meth:`index_phrases` has gone over them.
+        """
+        segments = [segment for segment in self.segments() if overlapping(segment, low, high, prefix)]
+        indexed = {s["phrases"] for s in segments if "phrases" in s} if can_prune(phrase) else set()
+        holding = self._with_phrase(phrase, indexed) if indexed else set()
         found = []
-        for segment in self.segments():
-            if not overlapping(segment, low, high, prefix):
-                continue
+        for segment in segments:
             text = self._store.read(f"{SEGMENTS}/{segment['segment']}")
             if text is None:
                 raise ValueError(f"{self.path} has lost a part of its record: {segment['segment']}")
-            found += [zone["file"] for zone in json.loads(text) if overlapping(zone, low, high, prefix)]
+            files = [zone["file"] for zone in json.loads(text) if overlapping(zone, low, high, prefix)]
+            found += [file for file in files if segment.get("phrases") not in indexed or file in holding]
         return found
 
-    def read(self, low: int | None = None, high: int | None = None, prefix: str = "") -> DataFrame:
+    def read(
+        self, low: int | None = None, high: int | None = None, prefix: str = "", phrase: str = ""
+    ) -> DataFrame:
         """Entries of the files that can hold what is asked for, and only these are opened."""
-        files = [f"{self.path}/{file}" for file in self.files(low, high, prefix)]
+        files = [f"{self.path}/{file}" for file in self.files(low, high, prefix, phrase)]
         if not files:
             return with_change_list(self.spark.createDataFrame([], INDEX_SCHEMA))
         return with_change_list(self.spark.read.schema(INDEX_SCHEMA).parquet(*files))
