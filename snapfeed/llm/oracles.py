@@ -1,5 +1,35 @@
 """The same questions in SQL for DuckDB, where SQL can express them."""
 
+OP4 = r"""
+with recursive docs as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') as words
+    from documents
+),
+shingles as (
+    select distinct doc_id, unnest(case when len(words) = 0 then []
+        else list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i+4], ' ')) end) as shingle
+    from docs
+),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+links as (
+    select a.doc_id as a, b.doc_id as b
+    from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id
+         join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+    group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 75 * (x.n + y.n - count(*))
+),
+both_ways as (select a, b from links union all select b, a from links),
+reached as (
+    select a, b from both_ways
+    union
+    select r.a, l.b from reached r join both_ways l on l.a = r.b
+),
+least_ids as (select a, min(b) as b from reached group by a)
+select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) as component_id,
+       d.doc_id = least(d.doc_id, coalesce(l.b, d.doc_id)) as kept
+from docs d left join sizes s on s.doc_id = d.doc_id left join least_ids l on l.a = d.doc_id
+"""
+
 OP5 = r"""
 with turns as (
     select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -51,6 +81,27 @@ judged as (
 select page_id, host, path, best.rule as rule, coalesce(best.action, 'allow') as verdict from judged
 """
 
+OP9 = r"""
+with texts as (select doc_id, encode(coalesce(text, '')) as data, octet_length(encode(coalesce(text, ''))) as n_bytes from documents),
+strings as (select doc_id, s, data[s:s+49] as string from texts, lateral unnest(range(1, n_bytes - 48)) as t(s)),
+firsts as (select string, min(doc_id) as first_id from strings group by string having min(doc_id) < max(doc_id)),
+hits as (select doc_id, s from strings join firsts using (string) where first_id < doc_id),
+begun as (
+    select doc_id, s, case when s - lag(s) over (partition by doc_id order by s) <= 50 then 0 else 1 end as begins from hits
+),
+numbered as (select doc_id, s, sum(begins) over (partition by doc_id order by s) as run from begun),
+runs as (select doc_id, min(s) as a, max(s) + 49 as z from numbered group by doc_id, run),
+stays as (  -- the bytes before each run, and those after the last one
+    select doc_id, a as place, lag(z, 1, 0) over (partition by doc_id order by a) + 1 as low, a - 1 as high, z - a + 1 as removed from runs
+    union all
+    select t.doc_id, t.n_bytes + 1, coalesce(max(r.z), 0) + 1, t.n_bytes, 0
+    from texts t left join runs r on r.doc_id = t.doc_id group by t.doc_id, t.n_bytes
+)
+select t.doc_id, t.n_bytes::bigint as n_bytes, sum(removed)::bigint as n_removed, (count(*) - 1)::bigint as n_spans,
+       sha256(unhex(string_agg(case when low <= high then hex(data[low:high]) else '' end, '' order by place))) as kept_sha256
+from texts t join stays s on s.doc_id = t.doc_id group by t.doc_id, t.n_bytes
+"""
+
 OP11 = r"""
 with docs as (
     select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -148,4 +199,12 @@ ranked as (
 select * from ranked where rank <= 20
 """
 
-ORACLES = {"op5_chat": OP5, "op6_urls": OP6, "op11_search": OP11, "op12_spelling": OP12, "op13_topk": OP13}
+ORACLES = {
+    "op4_neardup": OP4,
+    "op5_chat": OP5,
+    "op6_urls": OP6,
+    "op9_repeats": OP9,
+    "op11_search": OP11,
+    "op12_spelling": OP12,
+    "op13_topk": OP13,
+}
