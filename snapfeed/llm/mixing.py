@@ -19,6 +19,8 @@ WEIGHTS = (1.0, 2.0, 3.0)
 MOST_COPIES = 3
 #: Documents of a leaf of the reduction tree, and residuals of an inner node.
 LEAF, FAN = 4096, 64
+#: Fractions nearer than this to 0 or 1 are first brought together in pairs.
+NEAR = 1 / 16
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -112,26 +114,38 @@ def _against_rest(rows: list[list], i: int, seed: int) -> bool:
     return True
 
 
+def _is_open(row: list) -> bool:
+    return 0 < row[2] < 1
+
+
+def _pairs(rows: list[list], seed: int, near: float = 0.5) -> None:
+    """Pairs the open rows whose fraction is within ``near`` of 0 or 1, each with what the last pair left of them."""
+    held = None
+    for row in rows:
+        if not 0 < min(row[2], 1 - row[2]) <= near:
+            continue
+        if held is not None:
+            _pair(row, held, seed)
+        left = next((x for x in (row, held) if x is not None and _is_open(x)), None)
+        held = left if left is not None and min(left[2], 1 - left[2]) <= near else None
+
+
 def pivot(rows: list[list], seed: int) -> None:
     """Makes the fractions of ``rows`` integral, all but one at most.
 
     A row is [key, size, p, …], large ones first, and its ``p`` is changed in
     place. Words (``p`` times ``size``) move between two sides in a direction
     drawn so that every ``p`` keeps its mean, until one side is integral; the
-    words of all together stay the same. A document is paired with those after
-    it together, so that what is left fractional in the end is small; when they
-    are too few for that, with the next one alone.
+    words of all together stay the same. Fractions near 0 or 1 are paired with
+    their neighbours until they are no longer. Then a document is paired with
+    those after it together, a few dozen at most, so that what is left fractional
+    in the end is small; when they are too few for that, with the next one alone.
     """
+    _pairs(rows, seed, NEAR)
     at = 0
-    while at < len(rows) and (not 0 < rows[at][2] < 1 or _against_rest(rows, at, seed)):
+    while at < len(rows) and (not _is_open(rows[at]) or _against_rest(rows, at, seed)):
         at += 1
-    held = None
-    for row in rows[at:]:
-        if not 0 < row[2] < 1:
-            continue
-        if held is not None:
-            _pair(row, held, seed)
-        held = row if 0 < row[2] < 1 else held if held is not None and 0 < held[2] < 1 else None
+    _pairs(rows[at:], seed)
 
 
 def _level(rows: DataFrame, seed: int) -> DataFrame:
