@@ -14,24 +14,28 @@ PAIRS = "place int, parent string, low string, high string, is_folder boolean, f
 def path_pairs(paths: DataFrame) -> DataFrame:
     """The pairs in the paths of each file, once each; ``paths`` has ``path`` and ``file``.
 
-    Rows go with the folders of a file, not with its entries. Paths that are null
-    or have no slash have no pairs.
+    Rows go with the folders of a file, not with its entries: the names below each
+    folder are brought to one range before its path is taken apart. Paths that are
+    null or have no slash have no pairs.
     """
-    parts = F.split("path", "/", -1)
-    last = F.size("parts") - 1
-    pairs = F.transform(
-        F.sequence(F.lit(1), last),
-        lambda i: F.struct(
-            i.alias("place"),
-            F.get("parts", i - 1).alias("parent"),
-            F.get("parts", i).alias("name"),
-            (i < last).alias("is_folder"),
-        ),
-    )
-    found = paths.select("file", parts.alias("parts")).where(last > 0).select("file", F.inline(pairs))
-    folder = F.when(F.col("is_folder"), F.col("name"))
-    grouped = found.groupBy("file", "place", "parent", "is_folder", folder.alias("folder"))
-    return grouped.agg(F.min("name").alias("low"), F.max("name").alias("high")).select(
+    name = F.substring_index("path", "/", -1)
+    above = F.substring("path", F.lit(1), F.length("path") - F.length(name) - 1)
+    named = paths.where(F.col("path").contains("/")).select("file", F.split(above, "/", -1).alias("parts"), name.alias("name"))
+    folders = named.groupBy("file", "parts").agg(F.min("name").alias("low"), F.max("name").alias("high"))
+
+    def pair(place: Column, low: Column, high: Column, is_folder: bool) -> Column:
+        parent = F.get("parts", place - 1)
+        fields = (place.alias("place"), parent.alias("parent"), low.alias("low"), high.alias("high"))
+        return F.struct(*fields, F.lit(is_folder).alias("is_folder"))
+
+    size = F.size("parts")
+    names = pair(size, F.col("low"), F.col("high"), False)
+    within = F.transform(F.sequence(F.lit(1), size - 1), lambda i: pair(i, F.get("parts", i), F.get("parts", i), True))
+    pairs = F.when(size > 1, F.concat(within, F.array(names))).otherwise(F.array(names))
+    found = folders.select("file", F.inline(pairs))
+    own = F.when(F.col("is_folder"), F.col("low"))
+    grouped = found.groupBy("file", "place", "parent", "is_folder", own.alias("folder"))
+    return grouped.agg(F.min("low").alias("low"), F.max("high").alias("high")).select(
         "place", "parent", "low", "high", "is_folder", "file"
     )
 
