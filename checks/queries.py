@@ -274,23 +274,24 @@ def packed_files(spark, sf_dir):
 
 
 def write_files(content: DataFrame, root: str) -> None:
-    """A file per row; without content, one that is not text."""
+    """A file per row; without content, one that is not text. A worker holds one text beside its batch."""
     uri = file_uri(root)
 
     def write(batches):
-        import pandas as pd
+        import pyarrow as pa
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
         for batch in batches:
             for path, text in zip(batch["path"], batch["content"], strict=True):
+                path, text = path.as_py(), text.as_py()
                 store.create_dir(base + path.rpartition("/")[0], recursive=True)
                 with store.open_output_stream(base + path, compression=None) as file:
                     file.write(b"\xff" if text is None else text.encode())
-            yield pd.DataFrame({"files": [len(batch)]})
+            yield pa.RecordBatch.from_pydict({"files": [batch.num_rows]})
 
     spread = content.repartition(8)
-    spread.mapInPandas(write, "files bigint").agg(F.sum("files")).first()
+    spread.mapInArrow(write, "files bigint").agg(F.sum("files")).first()
 
 
 def missing_files(spark, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import codecs
 import errno
 import re
+import sys
 import time
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator
@@ -25,6 +26,8 @@ PIECE_BYTES = 1 << 24
 # Files that a task opens ahead of the one it is at, and what it reads of each meanwhile.
 READ_AHEAD = 8
 HEAD_BYTES = 1 << 20
+# Memory of the texts that go out of a worker together; the piece that reaches it is their last.
+BATCH_BYTES = 1 << 22
 # Seconds to wait before the storage is asked again; after the last the task fails.
 RETRY_DELAYS = (0.5, 2.0, 8.0, 30.0)
 
@@ -106,7 +109,7 @@ def open_changed_files(
     feed: DataFrame,
     root: str = "",
     partitions: int | None = None,
-    batch_bytes: int = 1 << 25,
+    batch_bytes: int = BATCH_BYTES,
     piece_bytes: int = PIECE_BYTES,
     encoding: str = "utf-8",
     task_bytes: int = TASK_BYTES,
@@ -133,7 +136,9 @@ def open_changed_files(
     task, for which it is stored with the files' sizes (:func:`packed_files`), or
     at random over ``partitions`` where that is given. A task begins to read the
     next ``READ_AHEAD`` files while it is at one, up to ``HEAD_BYTES`` of each.
-    Output batches are cut by size, so large files do not pile up in a worker.
+    Output batches are cut at ``batch_bytes`` of memory, so neither large files nor
+    many small ones pile up in a worker: what it holds follows the largest piece
+    and not what its task reads.
     """
     names = feed.columns
     uri = file_uri(root)
@@ -198,7 +203,7 @@ def open_changed_files(
                     for piece in pieces(path, begun):
                         rows.append(row)
                         found.append(piece)
-                        held += len(piece[3] or "")
+                        held += sys.getsizeof(piece[3])
                         if held >= batch_bytes:
                             yield filled(batch, rows, found)
                             rows, found, held = [], [], 0

@@ -1,9 +1,12 @@
+import sys
+import tracemalloc
 from pathlib import Path
 
+import pandas as pd
 import pytest
 
 import snapfeed as sf
-from snapfeed.sources.files import RETRY_DELAYS, retried
+from snapfeed.sources.files import BATCH_BYTES, RETRY_DELAYS, retried
 
 FEED = "path string, snapshot bigint, change_types array<string>"
 
@@ -152,6 +155,34 @@ def test_files_in_pieces(spark, tmp_path, piece_bytes):
         ]
 
 
+def test_memory_of_a_reader_does_not_follow_its_files(spark, tmp_path, monkeypatch):
+    text = "日" * (1 << 19)
+    for n in range(64):
+        (tmp_path / str(n)).write_text(text, encoding="utf-8")
+    readers = []
+
+    def keep(frame, function, schema):
+        readers.append(function)
+        return map_in_pandas(frame, function, schema)
+
+    feed = spark.createDataFrame([], FEED)
+    map_in_pandas = type(feed).mapInPandas
+    monkeypatch.setattr(type(feed), "mapInPandas", keep)
+    sf.open_changed_files(feed, str(tmp_path), partitions=1)
+    peaks = []
+    for files in (16, 64):
+        batch = pd.DataFrame({"path": [f"/{n}" for n in range(files)], "snapshot": 1, "change_types": None})
+        read = 0
+        tracemalloc.start()
+        for frame in readers[0](iter([batch])):
+            assert sum(map(sys.getsizeof, frame["content"])) < BATCH_BYTES + sys.getsizeof(text)
+            read += sum(content == text for content in frame["content"])
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert read == files
+    assert peaks[1] < 1.3 * peaks[0]
+
+
 def test_each_file_is_opened_once(spark, tmp_path, make_index):
     (tmp_path / "ifs").mkdir()
     (tmp_path / "ifs" / "once").write_text("text")
