@@ -150,8 +150,9 @@ def open_changed_files(
         def part(path: str, offset: int, size: int) -> tuple[bytes, bool]:
             def read() -> tuple[bytes, bool]:
                 with store.open_input_file(base + path) as file:
-                    data = file.read_at(size, offset)
-                    return data, offset + len(data) < file.size()
+                    whole = file.size()
+                    data = file.read_at(max(0, min(size, whole - offset)), offset)  # memory is taken for all that is asked
+                    return data, offset + len(data) < whole
 
             return retried(read, of_the_file(path))
 

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 
 import snapfeed as sf
-from snapfeed.sources.files import BATCH_BYTES, RETRY_DELAYS, retried
+from snapfeed.sources.files import BATCH_BYTES, HEAD_BYTES, RETRY_DELAYS, retried
 
 FEED = "path string, snapshot bigint, change_types array<string>"
 
@@ -155,10 +155,9 @@ def test_files_in_pieces(spark, tmp_path, piece_bytes):
         ]
 
 
-def test_memory_of_a_reader_does_not_follow_its_files(spark, tmp_path, monkeypatch):
-    text = "日" * (1 << 19)
-    for n in range(64):
-        (tmp_path / str(n)).write_text(text, encoding="utf-8")
+@pytest.fixture
+def peak_of(spark, tmp_path, monkeypatch):
+    """The most memory that a reader of so many files takes; ``look`` sees the texts of each frame."""
     readers = []
 
     def keep(frame, function, schema):
@@ -169,18 +168,41 @@ def test_memory_of_a_reader_does_not_follow_its_files(spark, tmp_path, monkeypat
     map_in_pandas = type(feed).mapInPandas
     monkeypatch.setattr(type(feed), "mapInPandas", keep)
     sf.open_changed_files(feed, str(tmp_path), partitions=1)
-    peaks = []
-    for files in (16, 64):
+
+    def run(files, look):
         batch = pd.DataFrame({"path": [f"/{n}" for n in range(files)], "snapshot": 1, "change_types": None})
-        read = 0
         tracemalloc.start()
         for frame in readers[0](iter([batch])):
-            assert sum(map(sys.getsizeof, frame["content"])) < BATCH_BYTES + sys.getsizeof(text)
-            read += sum(content == text for content in frame["content"])
-        peaks.append(tracemalloc.get_traced_memory()[1])
+            look(list(frame["content"]))
+        peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
-        assert read == files
-    assert peaks[1] < 1.3 * peaks[0]
+        return peak
+
+    return run
+
+
+def test_memory_of_a_reader_does_not_follow_its_files(tmp_path, peak_of):
+    text = "日" * (1 << 19)
+    for n in range(64):
+        (tmp_path / str(n)).write_text(text, encoding="utf-8")
+    read = []
+
+    def look(texts):
+        assert sum(map(sys.getsizeof, texts)) < BATCH_BYTES + sys.getsizeof(text)
+        assert set(texts) == {text}
+        read.append(len(texts))
+
+    few, many = peak_of(16, look), peak_of(64, look)
+    assert many < 1.3 * few
+    assert sum(read) == 80
+
+
+def test_small_files_take_no_more_than_they_hold(tmp_path, peak_of):
+    for n in range(50):
+        (tmp_path / str(n)).write_text("x" * n)
+    read = []
+    assert peak_of(50, read.extend) < HEAD_BYTES // 2
+    assert read == ["x" * n for n in range(50)]
 
 
 def test_each_file_is_opened_once(spark, tmp_path, make_index):
